@@ -186,7 +186,8 @@ _hash_vectors("clean_unit", "asked_not_blank", "query_id", "cleaned", twice=True
 
 
 def _cosine(a: str, b: str) -> str:
-    return _score(f"coalesce(list_cosine_similarity({a}, {b}), 0)")
+    # DuckDB gives NaN for a vector without length.
+    return _score(f"coalesce(nullif(list_cosine_similarity({a}, {b}), 'NaN'::DOUBLE), 0)")
 
 
 def _dense_ranks(name: str, queries: str, docs: str) -> None:
