@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -74,20 +76,33 @@ def _swap_words(words: pa.Array, lemmas: pa.Array):
     return swap
 
 
-def lemmatise(df: DataFrame, tokens_col: str, lemmas: DataFrame, key: str) -> DataFrame:
+class Lemmas:
+    """A lemma table ``(word, lemma, n_docs)`` and, if it is small, its Arrow copy."""
+
+    def __init__(self, table: DataFrame, max_pairs: int = LEMMA_PAIRS):
+        self.table = table
+        self.max_pairs = max_pairs
+
+    @cached_property
+    def pairs(self) -> pa.Table | None:
+        """All pairs, fetched once; ``None`` if there are too many to pass around."""
+        head = self.table.select("word", "lemma").limit(self.max_pairs + 1).toArrow()
+        return head.combine_chunks() if head.num_rows <= self.max_pairs else None
+
+
+def lemmatise(df: DataFrame, tokens_col: str, lemmas: Lemmas, key: str) -> DataFrame:
     """Replace each token by its lemma, keeping the order; unknown words stay.
 
     A lemma table of checked size goes to the workers and no row moves.  A larger
     one is joined token by token and the lists are put together again by ``key``.
     """
-    pairs = lemmas.select("word", "lemma").limit(LEMMA_PAIRS + 1).toArrow()
-    if pairs.num_rows <= LEMMA_PAIRS:
-        if pairs.num_rows == 0:
-            return df
-        words = pairs["word"].combine_chunks()
-        swap = _swap_words(words, pairs["lemma"].combine_chunks())
-        return df.withColumn(tokens_col, swap(tokens_col))
-    return _lemmatise_by_join(df, tokens_col, lemmas, key)
+    pairs = lemmas.pairs
+    if pairs is None:
+        return _lemmatise_by_join(df, tokens_col, lemmas.table, key)
+    if pairs.num_rows == 0:
+        return df
+    swap = _swap_words(pairs["word"].combine_chunks(), pairs["lemma"].combine_chunks())
+    return df.withColumn(tokens_col, swap(tokens_col))
 
 
 def _lemmatise_by_join(df: DataFrame, tokens_col: str, lemmas: DataFrame, key: str) -> DataFrame:
@@ -107,7 +122,7 @@ def _lemmatise_by_join(df: DataFrame, tokens_col: str, lemmas: DataFrame, key: s
 
 
 def clean(
-    df: DataFrame, text_col: str, lemmas: DataFrame | None = None, key: str = "doc_id"
+    df: DataFrame, text_col: str, lemmas: Lemmas | None = None, key: str = "doc_id"
 ) -> DataFrame:
     """Add ``tokens`` and the space-joined ``cleaned`` text to every row."""
     tokenised = df.withColumn("tokens", content_words(F.col(text_col)))

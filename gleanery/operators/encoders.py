@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import delete_punctuation, split_words, text_or_blank
-from gleanery.operators.cleaning import clean
+from gleanery.operators.cleaning import Lemmas, clean
 
 
 class Encoder(Protocol):
@@ -95,7 +95,7 @@ def embed_raw_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
 
 
 def embed_cleaned_queries(
-    queries: DataFrame, encoder: Encoder, lemmas: DataFrame | None
+    queries: DataFrame, encoder: Encoder, lemmas: Lemmas | None
 ) -> DataFrame:
     """Vectors of the cleaned queries; one that is blank after cleaning gets no row."""
     cleaned = clean(queries.select("query_id", "query"), "query", lemmas, key="query_id")
@@ -104,7 +104,7 @@ def embed_cleaned_queries(
 
 
 def process_queries(
-    queries: DataFrame, encoder: Encoder, lemmas: DataFrame | None = None
+    queries: DataFrame, encoder: Encoder, lemmas: Lemmas | None = None
 ) -> DataFrame:
     """The query record: original text, cleaned text and the vector of the raw text.
 

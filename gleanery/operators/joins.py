@@ -28,11 +28,6 @@ HOT_KEYS = 10_000
 SALTS = 64
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; looks at one row beyond."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def join_by_frequency(
     facts: DataFrame,
     words: DataFrame,

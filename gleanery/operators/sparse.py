@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import content_words
-from gleanery.operators.cleaning import LEMMA_PAIRS, clean
-from gleanery.operators.joins import has_at_most, join_by_frequency, look_up
+from gleanery.operators.cleaning import Lemmas, clean
+from gleanery.operators.joins import join_by_frequency, look_up
 from gleanery.operators.ranking import with_snippets
 from gleanery.operators.scan import SparseQueries, measure, search_top_k
 
@@ -39,31 +39,30 @@ class Weighting:
         return F.when(total > 0, total).otherwise(1.0) if self.unit_length else F.lit(1.0)
 
 
-def bag_of_words(docs: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
+def bag_of_words(docs: DataFrame, lemmas: Lemmas | None = None) -> DataFrame:
     """Count terms per document: ``(doc_id, term, tf)``.
 
     The texts are shuffled once, by document; every grouping after it is local.
     A document without any term keeps one row with a null term.
     """
     words = F.explode_outer(content_words(F.col("text"))).alias("word")
-    counts = (
-        docs.select("doc_id", "text")
-        .repartition("doc_id")
-        .select("doc_id", words)
-        .groupBy("doc_id", "word")
-        .agg(F.count("*").alias("tf"))
-    )
+    rows = docs.select("doc_id", "text").repartition("doc_id").select("doc_id", words)
     if lemmas is None:
-        return counts.withColumnRenamed("word", "term")
-    if has_at_most(lemmas, LEMMA_PAIRS):
-        known = counts.join(F.broadcast(lemmas.select("word", "lemma")), "word", "left")
-    else:
-        known = join_by_frequency(counts, lemmas, "word", "n_docs")
-    return (
-        known.withColumn("term", F.coalesce("lemma", "word"))
-        .groupBy("doc_id", "term")
-        .agg(F.sum("tf").alias("tf"))
-    )
+        return _count(rows.withColumnRenamed("word", "term"), F.lit(1))
+    if lemmas.pairs is not None:
+        pairs = F.broadcast(lemmas.table.select("word", "lemma"))
+        return _count(_to_terms(rows.join(pairs, "word", "left")), F.lit(1))
+    counts = rows.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    known = join_by_frequency(counts, lemmas.table, "word", "n_docs")
+    return _count(_to_terms(known), F.col("n"))
+
+
+def _to_terms(known: DataFrame) -> DataFrame:
+    return known.withColumn("term", F.coalesce("lemma", "word"))
+
+
+def _count(terms: DataFrame, times: Column) -> DataFrame:
+    return terms.groupBy("doc_id", "term").agg(F.sum(times).alias("tf"))
 
 
 def term_statistics(
@@ -77,7 +76,7 @@ def term_statistics(
 def document_vectors(
     bag: DataFrame, stats: DataFrame, weighting: Weighting = Weighting()
 ) -> DataFrame:
-    """One sparse row per document: ``(doc_id, terms, weights)``, terms sorted."""
+    """One sparse row per document: ``(doc_id, terms, weights)``."""
     weighted = join_by_frequency(bag, stats, "term", "df").withColumn(
         "weight", weighting.weight(F.col("tf"), F.col("idf"))
     )
@@ -89,7 +88,7 @@ def _as_rows(
     weighted: DataFrame, key: str, entry: Column, weighting: Weighting, terms: str, weights: str
 ) -> DataFrame:
     rows = weighted.groupBy(key).agg(
-        F.array_sort(F.collect_list(entry)).alias("_entries"),
+        F.collect_list(entry).alias("_entries"),
         weighting.length(F.col("weight")).alias("_length"),
     )
     return rows.select(
@@ -135,7 +134,7 @@ def tfidf_candidates(
     queries: DataFrame,
     vectors: DataFrame,
     stats: DataFrame,
-    lemmas: DataFrame | None,
+    lemmas: Lemmas | None,
     top_n: int = 10,
     candidate_k: int | None = None,
     weighting: Weighting = Weighting(),
@@ -169,7 +168,7 @@ def tfidf_search(
     corpus: DataFrame,
     vectors: DataFrame,
     stats: DataFrame,
-    lemmas: DataFrame | None = None,
+    lemmas: Lemmas | None = None,
     top_n: int = 10,
     candidate_k: int | None = None,
     weighting: Weighting = Weighting(),

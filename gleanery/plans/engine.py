@@ -12,7 +12,7 @@ from gleanery.operators.chunks import (
     chunk_search,
     chunk_search_in_candidates,
 )
-from gleanery.operators.cleaning import noun_lemmas, vocabulary
+from gleanery.operators.cleaning import Lemmas, noun_lemmas, vocabulary
 from gleanery.operators.dense import embedding_search
 from gleanery.operators.encoders import (
     Encoder,
@@ -38,16 +38,18 @@ def build_sparse(
     store: ArtifactStore,
     dataset: str,
     docs: DataFrame,
-    lemmas: DataFrame | None = None,
+    lemma_table: DataFrame | None = None,
     weighting: Weighting = Weighting(),
 ) -> None:
     """Write ``lemmas``, ``bag``, ``term_stats`` and ``doc_vectors`` of a corpus.
 
-    Lemmas are derived from the corpus unless given.  The bag of words is written
-    once and read twice, so the texts are shuffled a single time.
+    Lemmas are derived from the ``vocabulary`` of the corpus unless given.  The bag
+    of words is written once and read twice, so the texts are shuffled a single time.
     """
-    lemmas = noun_lemmas(vocabulary(docs)) if lemmas is None else lemmas
-    lemmas = store.write("lemmas", dataset, lemmas)
+    if lemma_table is None:
+        words = store.write("vocabulary", dataset, vocabulary(docs))
+        lemma_table = noun_lemmas(words)
+    lemmas = Lemmas(store.write("lemmas", dataset, lemma_table))
     bag = store.write("bag", dataset, bag_of_words(docs, lemmas))
     stats = store.write("term_stats", dataset, term_statistics(bag, docs.count(), weighting))
     store.write("doc_vectors", dataset, document_vectors(bag, stats, weighting))
@@ -81,7 +83,7 @@ class Engine:
     """
 
     corpus: DataFrame
-    lemmas: DataFrame
+    lemmas: Lemmas
     term_stats: DataFrame
     doc_vectors: DataFrame
     embeddings: DataFrame
@@ -92,8 +94,9 @@ class Engine:
 
     @classmethod
     def load(cls, store: ArtifactStore, dataset: str, corpus: DataFrame, encoder: Encoder):
-        names = ["lemmas", "term_stats", "doc_vectors", "embeddings", "chunks"]
-        return cls(corpus, *[store.read(n, dataset) for n in names], encoder)
+        names = ["term_stats", "doc_vectors", "embeddings", "chunks"]
+        tables = [store.read(name, dataset) for name in names]
+        return cls(corpus, Lemmas(store.read("lemmas", dataset)), *tables, encoder)
 
     def raw_vectors(self, queries: DataFrame) -> DataFrame:
         if self.query_vectors is not None:

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.operators.cleaning import Lemmas
 from gleanery.operators.encoders import HashEncoder
 from gleanery.plans.engine import Engine, build_chunks, build_embeddings, build_sparse
 from gleanery.session import shared_folder
@@ -83,9 +84,9 @@ class Workbench:
         build_embeddings(self.store, "documents", self.spread_docs, self.encoder)
         return self.store.read("embeddings", "documents")
 
-    @property
-    def lemmas(self) -> DataFrame:
-        return self.sparse.read("lemmas", "documents")
+    @cached_property
+    def lemmas(self) -> Lemmas:
+        return Lemmas(self.sparse.read("lemmas", "documents"))
 
     @property
     def bag(self) -> DataFrame:

@@ -115,7 +115,7 @@ def stopword_filter(w):
 
 @registered
 def noun_lemma_pairs(w):
-    return w.lemmas
+    return w.lemmas.table
 
 
 @registered

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from gleanery.functions.text import PUNCTUATION, QUOTES, STOP_WORDS, WHITE_SPACE
+from gleanery.functions.text import CONTRACTIONS, PUNCTUATION, QUOTES, STOP_WORDS, WHITE_SPACE
 from gleanery.operators.cleaning import NOUN_ENDINGS
 from gleanery.operators.prompts import INSTRUCTIONS, NO_CONTENT, NOTHING_FOUND
 
@@ -33,9 +33,9 @@ def _normal(text: str) -> str:
 
 def _tokens(text: str) -> str:
     out = rf"regexp_replace({_normal(text)}, '([{QUOTES}])', ' \1 ', 'g')"
-    for pair in ["can not", "gim me", "gon na", "got ta", "lem me", "wan na"]:
+    for pair in CONTRACTIONS:
         head, tail = pair.split()
-        out = rf"regexp_replace({out}, '\b({head})({tail})\b', '\1 \2', 'g')"
+        out = rf"regexp_replace({out}, '\b({head})({tail})\b', ' \1 \2 ', 'g')"
     return _words(out)
 
 
