@@ -220,6 +220,8 @@ def search_top_k(
     when the query side is beyond its bounds.
     """
     n_queries, n_entries = size
+    if k < 1:
+        vectors = vectors.limit(0)
     schema = T.StructType(
         [T.StructField("query_id", queries.schema["query_id"].dataType)]
         + [T.StructField(c, vectors.schema[c].dataType) for c in keep]
