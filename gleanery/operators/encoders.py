@@ -52,7 +52,8 @@ class HashEncoder:
             word = encoded.indices.to_numpy(zero_copy_only=False)
             lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
             cell = np.repeat(np.arange(len(lists)), lengths) * dim + bucket[word]
-            matrix = np.bincount(cell, sign[word], len(lists) * dim).reshape(-1, dim)
+            matrix = np.bincount(cell, sign[word], len(lists) * dim).astype("float64")
+            matrix = matrix.reshape(-1, dim)
             size = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
             return _as_float_lists(np.divide(matrix, size, out=matrix, where=size > 0))
 
