@@ -30,6 +30,7 @@ HEADLINE = [
     "prompt_text",
     "prompt_from_hybrid",
     "document_requests",
+    "dispatch",
 ]
 
 
@@ -52,6 +53,7 @@ def main() -> None:
 
     seconds = {
         "build_sparse": timed(lambda: bench.sparse),
+        "build_snippets": timed(lambda: bench.snippets),
         "build_embeddings": timed(lambda: bench.embeddings),
         "build_chunks": timed(lambda: bench.chunks),
     }

@@ -41,8 +41,8 @@ def dense_candidates(
 
 
 def embedding_search(
-    query_vectors: DataFrame, embeddings: DataFrame, corpus: DataFrame, top_n: int = 10
+    query_vectors: DataFrame, embeddings: DataFrame, snippets: DataFrame, top_n: int = 10
 ) -> DataFrame:
     """Dense search: ``(query_id, rank, doc_id, score, snippet)``."""
     hits, max_rows = dense_candidates(query_vectors, embeddings, top_n)
-    return with_snippets(hits, corpus, max_rows)
+    return with_snippets(hits, snippets, max_rows)

@@ -10,16 +10,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a narrow side (ids, scores, short strings) that may be broadcast.
-BROADCAST_ROWS = 200_000
+# Rows of a narrow side (ids, ranks, words) that may be broadcast, some 64 MB.
+BROADCAST_ROWS = 1_000_000
 
-# Keys that may be broadcast as frequent, and how long such a key may be:
-# 250,000 x (64 + a few numbers) bytes is about 25 MB.
+# Keys that may be broadcast as frequent, and their average length if they are all
+# the keys there are: 250,000 x (64 + a few numbers) bytes is about 25 MB.
 FREQUENT_KEYS = 250_000
-FREQUENT_KEY_BYTES = 64
+KEY_BYTES = 64
 
 # A key with at least this many rows is hot; 10,000 such keys at most are salted,
 # each over this many copies of its row on the other side.
@@ -28,6 +28,12 @@ HOT_KEYS = 10_000
 SALTS = 64
 
 
+def rows_if_few(df: DataFrame) -> int | None:
+    """The number of rows, or ``None`` if they are too many to broadcast."""
+    n = df.limit(BROADCAST_ROWS + 1).count()
+    return n if n <= BROADCAST_ROWS else None
+
+
 def join_by_frequency(
     facts: DataFrame,
     words: DataFrame,
@@ -39,14 +45,19 @@ def join_by_frequency(
     """Join ``facts`` with ``words`` (one row per ``key``) under word-like skew.
 
     ``words[frequency]`` counts the rows a key has in ``facts``.  The frequent
-    keys, few by arithmetic, are broadcast; only rows of the many rare keys are
-    shuffled, and none of those keys can be hot.
+    keys are broadcast: at most ``max_keys`` can have that many rows, and with each
+    key repeated in so many rows, all of them together are no longer than the same
+    number of average keys.  Only rows of the many rare keys are shuffled, and none
+    of those keys can be hot.
     """
-    total, keys = words.agg(
-        F.coalesce(F.sum(frequency), F.lit(0)), F.count(F.lit(1))
+    total, keys, key_bytes = words.agg(
+        F.coalesce(F.sum(frequency), F.lit(0)),
+        F.count(F.lit(1)),
+        F.coalesce(F.sum(F.octet_length(key)), F.lit(0)),
     ).first()
-    at_least = 0 if keys <= max_keys else math.ceil(total / max_keys) + 1
-    is_frequent = (F.col(frequency) >= at_least) & (F.octet_length(key) <= FREQUENT_KEY_BYTES)
+    all_fit = keys <= max_keys and key_bytes <= max_keys * KEY_BYTES
+    at_least = 0 if all_fit else math.ceil(total / max_keys) + 1
+    is_frequent = F.col(frequency) >= at_least
     frequent = words.filter(is_frequent).withColumn("_frequent", F.lit(True))
     rare = words.filter(~is_frequent)
     joined = facts.join(F.broadcast(frequent), key, "left")
@@ -75,23 +86,12 @@ def join_wanted(
     return _salted_join(wanted, table, key, "inner")
 
 
-def look_up(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    max_rows: int | None,
-    columns: list[Column | str] | None = None,
-) -> DataFrame:
-    """Left join of ``rows`` with a big ``table`` that has one row per ``key``.
-
-    ``columns`` are computed on the rows found only, not on the whole table.
-    """
-    columns = columns or [c for c in table.columns if c != key]
+def look_up(rows: DataFrame, table: DataFrame, key: str, max_rows: int | None) -> DataFrame:
+    """Left join of ``rows`` with a big ``table`` that has one row per ``key``."""
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
         wanted = rows.select(key).distinct()
-        found = table.join(F.broadcast(wanted), key).select(key, *columns)
-        return rows.join(found, key, "left")
-    return _salted_join(rows, table, key, "left").select(*rows.columns, *columns)
+        return rows.join(table.join(F.broadcast(wanted), key), key, "left")
+    return _salted_join(rows, table, key, "left")
 
 
 def _salted_join(rows: DataFrame, table: DataFrame, key: str, how: str) -> DataFrame:

@@ -33,10 +33,14 @@ def best_first(*ties: str) -> list[Column]:
     return [F.desc("score"), *[F.asc(t) for t in ties]]
 
 
-def with_snippets(hits: DataFrame, corpus: DataFrame, max_rows: int | None) -> DataFrame:
+def snippet_table(corpus: DataFrame) -> DataFrame:
+    """The snippet of every document: ``(doc_id, snippet)``."""
+    return corpus.select("doc_id", snippet(F.col("text")).alias("snippet"))
+
+
+def with_snippets(hits: DataFrame, snippets: DataFrame, max_rows: int | None) -> DataFrame:
     """Attach the snippet of each hit; a hit without a document gets an empty one."""
-    short = snippet(F.col("text")).alias("snippet")
-    return look_up(hits, corpus.select("doc_id", "text"), "doc_id", max_rows, [short]).withColumn(
+    return look_up(hits, snippets, "doc_id", max_rows).withColumn(
         "snippet", F.coalesce("snippet", F.lit(""))
     )
 

@@ -165,7 +165,7 @@ def tfidf_candidates(
 
 def tfidf_search(
     queries: DataFrame,
-    corpus: DataFrame,
+    snippets: DataFrame,
     vectors: DataFrame,
     stats: DataFrame,
     lemmas: Lemmas | None = None,
@@ -177,4 +177,4 @@ def tfidf_search(
     hits, max_rows = tfidf_candidates(
         queries, vectors, stats, lemmas, top_n, candidate_k, weighting
     )
-    return with_snippets(hits, corpus, max_rows)
+    return with_snippets(hits, snippets, max_rows)

@@ -22,7 +22,7 @@ from gleanery.operators.encoders import (
 )
 from gleanery.operators.hybrid import rerank
 from gleanery.operators.prompts import NO_CONTENT, build_prompts
-from gleanery.operators.ranking import with_snippets, with_texts
+from gleanery.operators.ranking import snippet_table, with_snippets, with_texts
 from gleanery.operators.sparse import (
     Weighting,
     bag_of_words,
@@ -55,6 +55,11 @@ def build_sparse(
     store.write("doc_vectors", dataset, document_vectors(bag, stats, weighting))
 
 
+def build_snippets(store: ArtifactStore, dataset: str, docs: DataFrame) -> None:
+    """Write ``snippets``, so that searches need not read whole texts for them."""
+    store.write("snippets", dataset, snippet_table(docs))
+
+
 def build_embeddings(
     store: ArtifactStore, dataset: str, docs: DataFrame, encoder: Encoder
 ) -> None:
@@ -83,6 +88,7 @@ class Engine:
     """
 
     corpus: DataFrame
+    snippets: DataFrame
     lemmas: Lemmas
     term_stats: DataFrame
     doc_vectors: DataFrame
@@ -96,7 +102,8 @@ class Engine:
     def load(cls, store: ArtifactStore, dataset: str, corpus: DataFrame, encoder: Encoder):
         names = ["term_stats", "doc_vectors", "embeddings", "chunks"]
         tables = [store.read(name, dataset) for name in names]
-        return cls(corpus, Lemmas(store.read("lemmas", dataset)), *tables, encoder)
+        lemmas = Lemmas(store.read("lemmas", dataset))
+        return cls(corpus, store.read("snippets", dataset), lemmas, *tables, encoder)
 
     def raw_vectors(self, queries: DataFrame) -> DataFrame:
         if self.query_vectors is not None:
@@ -106,7 +113,7 @@ class Engine:
     def tfidf(self, queries: DataFrame, top_n: int = 10, candidate_k: int | None = None):
         return tfidf_search(
             queries,
-            self.corpus,
+            self.snippets,
             self.doc_vectors,
             self.term_stats,
             self.lemmas,
@@ -116,7 +123,7 @@ class Engine:
         )
 
     def embedding(self, queries: DataFrame, top_n: int = 10) -> DataFrame:
-        return embedding_search(self.raw_vectors(queries), self.embeddings, self.corpus, top_n)
+        return embedding_search(self.raw_vectors(queries), self.embeddings, self.snippets, top_n)
 
     def chunk(self, queries: DataFrame, top_k: int = 5, threshold: float = 0.7) -> DataFrame:
         vectors = embed_cleaned_queries(queries, self.encoder, self.lemmas)
@@ -141,7 +148,7 @@ class Engine:
 
     def hybrid(self, queries: DataFrame, top_n: int = 10, top_k_sparse: int = 1000) -> DataFrame:
         hits, max_rows = self.hybrid_candidates(queries, top_n, top_k_sparse)
-        return with_snippets(hits, self.corpus, max_rows)
+        return with_snippets(hits, self.snippets, max_rows)
 
     def chunk_in_hybrid(
         self,
@@ -152,6 +159,11 @@ class Engine:
     ) -> DataFrame:
         """The best chunks among the documents of a hybrid search, by the raw query."""
         hits, max_rows = self.hybrid_candidates(queries, candidate_docs, top_k_sparse)
+        return self.chunk_in_documents(queries, hits, max_rows, top_k)
+
+    def chunk_in_documents(
+        self, queries: DataFrame, hits: DataFrame, max_rows: int | None, top_k: int = 10
+    ) -> DataFrame:
         vectors = embed_raw_queries(queries, self.encoder)
         return chunk_search_in_candidates(vectors, hits, self.chunks, top_k, max_rows)
 
@@ -166,5 +178,10 @@ class Engine:
     ) -> DataFrame:
         """Prompts over whole texts of hybrid hits, or the fixed reply without hits."""
         hits, max_rows = self.hybrid_candidates(queries, top_k, top_k_sparse)
+        return self.prompts_from_documents(queries, hits, max_rows)
+
+    def prompts_from_documents(
+        self, queries: DataFrame, hits: DataFrame, max_rows: int | None
+    ) -> DataFrame:
         texts = with_texts(hits, self.corpus, max_rows, NO_CONTENT)
         return build_prompts(queries, texts, prompt_when_empty=False)

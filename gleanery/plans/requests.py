@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cached_property, partial, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.functions.text import suffixed_snippet
-from gleanery.operators.joins import look_up
+from gleanery.operators.joins import look_up, rows_if_few
+from gleanery.operators.prompts import build_prompts
+from gleanery.operators.ranking import with_snippets
 from gleanery.plans.engine import Engine
+from gleanery.session import materialise
 
 # The method names a request may carry.
 METHODS = [
@@ -50,23 +54,60 @@ def validate(requests: DataFrame, datasets: list[str]) -> DataFrame:
     return requests.withColumn("instruction_key", key).withColumn("error", error)
 
 
-def _answer(engine: Engine, method: str, queries: DataFrame) -> DataFrame:
-    if method == "tfidf":
-        return engine.tfidf(queries)
-    if method == "embedding_brute_force":
-        return engine.embedding(queries)
-    if method == "embedding_faiss":
-        hits = engine.chunk(queries)
-        return hits.select(
-            "query_id", "rank", "doc_id", "score", suffixed_snippet(F.col("text")).alias("snippet")
-        )
-    if method == "hybrid":
-        return engine.hybrid(queries)
-    if method == "faiss_with_basics":
-        return engine.chunk_in_hybrid(queries).drop("chunk_no")
-    if method == "rag_with_faiss":
-        return engine.prompts_from_chunks(queries).drop("query")
-    return engine.prompts_from_hybrid(queries).drop("query")
+# How many of its hybrid hits a method looks at, and which methods share chunk hits.
+HYBRID_DEPTH = {"hybrid": 10, "faiss_with_basics": 50, "rag_with_basics": 3}
+CHUNK_METHODS = ["embedding_faiss", "rag_with_faiss"]
+
+
+class _Dataset:
+    """The good requests of one dataset, and the searches their methods share.
+
+    Several methods start from the same search.  It runs once for the queries of
+    all of them, and the few hits are written down for each method to pick its own.
+    """
+
+    def __init__(self, engine: Engine, requests: DataFrame, methods: list[str]):
+        self.engine = engine
+        self.requests = requests.withColumnRenamed("request_id", "query_id")
+        self.methods = methods
+
+    def queries(self, *methods: str) -> DataFrame:
+        mine = self.requests.filter(F.col("method").isin(list(methods)))
+        return mine.select("query_id", "query", "instruction_key")
+
+    @cached_property
+    def hybrid(self) -> tuple[DataFrame, int | None]:
+        present = [m for m in HYBRID_DEPTH if m in self.methods]
+        depth = max(HYBRID_DEPTH[m] for m in present)
+        hits, max_rows = self.engine.hybrid_candidates(self.queries(*present), depth)
+        return materialise(hits, "hybrid-hits"), max_rows
+
+    @cached_property
+    def chunks(self) -> DataFrame:
+        return materialise(self.engine.chunk(self.queries(*CHUNK_METHODS)), "chunk-hits")
+
+    def hits_of(self, method: str, shared: DataFrame) -> DataFrame:
+        return shared.join(self.queries(method).select("query_id"), "query_id", "left_semi")
+
+    def answer(self, method: str) -> DataFrame:
+        engine, queries = self.engine, self.queries(method)
+        if method == "tfidf":
+            return engine.tfidf(queries)
+        if method == "embedding_brute_force":
+            return engine.embedding(queries)
+        if method in CHUNK_METHODS:
+            hits = self.hits_of(method, self.chunks)
+            if method == "rag_with_faiss":
+                return build_prompts(queries, hits).drop("query")
+            short = suffixed_snippet(F.col("text")).alias("snippet")
+            return hits.select("query_id", "rank", "doc_id", "score", short)
+        shared, max_rows = self.hybrid
+        hits = self.hits_of(method, shared.filter(F.col("rank") <= HYBRID_DEPTH[method]))
+        if method == "hybrid":
+            return with_snippets(hits, engine.snippets, max_rows)
+        if method == "faiss_with_basics":
+            return engine.chunk_in_documents(queries, hits, max_rows).drop("chunk_no")
+        return engine.prompts_from_documents(queries, hits, max_rows).drop("query")
 
 
 def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
@@ -79,23 +120,24 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
     checked = validate(requests, list(engines))
     good = checked.filter(F.col("error").isNull()).drop("error")
     rejects = checked.filter(F.col("error").isNotNull())
-    present = {(r["dataset"], r["method"]) for r in good.select("dataset", "method").distinct().collect()}
+    # One row per dataset and method at most, however many requests there are.
+    present = sorted(map(tuple, good.select("dataset", "method").distinct().collect()))
     id_types = {e.corpus.schema["doc_id"].dataType for e in engines.values()}
     parts = []
-    for dataset, method in sorted(present):
-        mine = good.filter((F.col("dataset") == dataset) & (F.col("method") == method))
-        queries = mine.select(F.col("request_id").alias("query_id"), "query", "instruction_key")
-        answer = _answer(engines[dataset], method, queries)
-        if len(id_types) > 1:
-            answer = _with_string_ids(answer)
-        echo = mine.select(F.col("request_id").alias("query_id"), "query", "dataset", "method")
-        parts.append(echo.join(answer, "query_id").withColumnRenamed("query_id", "request_id"))
+    for dataset in sorted({d for d, _ in present}):
+        methods = [m for d, m in present if d == dataset]
+        mine = good.filter(F.col("dataset") == dataset)
+        work = _Dataset(engines[dataset], mine, methods)
+        for method in methods:
+            answer = work.answer(method)
+            if len(id_types) > 1:
+                answer = _with_string_ids(answer)
+            echo = mine.filter(F.col("method") == method)
+            echo = echo.select("request_id", "query", "dataset", "method")
+            parts.append(echo.join(answer.withColumnRenamed("query_id", "request_id"), "request_id"))
     if not parts:
         return Answers(good.drop("instruction_key").limit(0), rejects)
-    results = parts[0]
-    for part in parts[1:]:
-        results = results.unionByName(part, allowMissingColumns=True)
-    return Answers(results, rejects)
+    return Answers(reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts), rejects)
 
 
 def _with_string_ids(answer: DataFrame) -> DataFrame:
@@ -114,24 +156,20 @@ def _with_string_ids(answer: DataFrame) -> DataFrame:
     )
 
 
-def get_documents(
-    requests: DataFrame, corpora: dict[str, DataFrame], max_rows: int | None = None
-) -> DataFrame:
+def get_documents(requests: DataFrame, corpora: dict[str, DataFrame]) -> DataFrame:
     """Contents for ``(request_id, doc_id, dataset)`` rows, with ``error`` where none."""
     missing = F.col("doc_id").isNull() | _absent("dataset")
     missing = missing | (F.col("doc_id").cast("string") == "")
+    no_content = F.lit(None).cast("string").alias("content")
+    max_rows = rows_if_few(requests)
     known = requests.filter(~missing)
-    answered = None
+    answered = known.filter(~F.col("dataset").isin(list(corpora))).select("*", no_content)
     for dataset, corpus in corpora.items():
-        mine = known.filter(F.col("dataset") == dataset)
-        part = look_up(mine, corpus.select("doc_id", F.col("text").alias("content")), "doc_id", max_rows)
-        part = part.select(*requests.columns, "content")
-        answered = part if answered is None else answered.unionByName(part)
-    elsewhere = known.filter(~F.col("dataset").isin(list(corpora)))
-    nowhere = elsewhere.withColumn("content", F.lit(None).cast("string"))
-    answered = nowhere if answered is None else answered.unionByName(nowhere)
+        contents = corpus.select("doc_id", F.col("text").alias("content"))
+        part = look_up(known.filter(F.col("dataset") == dataset), contents, "doc_id", max_rows)
+        answered = answered.unionByName(part)
     not_found = F.when(F.col("content").isNull(), F.lit(DOCUMENT_NOT_FOUND))
-    bad = requests.filter(missing).withColumn("content", F.lit(None).cast("string"))
+    bad = requests.filter(missing).select("*", no_content)
     return answered.withColumn("error", not_found).unionByName(
         bad.withColumn("error", F.lit(MISSING_DOCUMENT_FIELDS))
     )

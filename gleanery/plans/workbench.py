@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.cleaning import Lemmas
 from gleanery.operators.encoders import HashEncoder
-from gleanery.plans.engine import Engine, build_chunks, build_embeddings, build_sparse
+from gleanery.plans.engine import (
+    Engine,
+    build_chunks,
+    build_embeddings,
+    build_snippets,
+    build_sparse,
+)
 from gleanery.session import shared_folder
 from gleanery.sources.artifacts import ArtifactStore
 from gleanery.sources.catalog import Catalog, DatasetSpec, read_spread
@@ -74,6 +80,11 @@ class Workbench:
         build_sparse(self.store, "documents", self.spread_docs)
         return self.store
 
+    @cached_property
+    def snippets(self) -> DataFrame:
+        build_snippets(self.store, "documents", self.docs)
+        return self.store.read("snippets", "documents")
+
     @cached_property
     def chunks(self) -> DataFrame:
         build_chunks(self.store, "documents", self.spread_docs, self.encoder)
@@ -105,6 +116,7 @@ class Workbench:
         """Document and query vectors as they are in the tables."""
         return Engine(
             self.docs,
+            self.snippets,
             self.lemmas,
             self.term_stats,
             self.doc_vectors,
@@ -119,6 +131,7 @@ class Workbench:
         """All vectors made by the encoder, as for requests of any text."""
         return Engine(
             self.docs,
+            self.snippets,
             self.lemmas,
             self.term_stats,
             self.doc_vectors,

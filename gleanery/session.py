@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(name: str = "gleanery", cores: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -36,3 +37,14 @@ def shared_folder(spark: SparkSession) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a result that is read more than once and go on from the written table.
+
+    Unlike a cache it survives lost executors, and unlike a checkpoint it is
+    columnar, so later readers still prune columns.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

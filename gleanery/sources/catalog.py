@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators.joins import BROADCAST_ROWS
+from gleanery.operators.joins import rows_if_few
 
 
 class UnknownDataset(KeyError):
@@ -73,13 +73,13 @@ class Catalog:
         """The text of one document: one row, or none; the id reaches the file scan."""
         return self.documents(dataset).filter(F.col("doc_id") == F.lit(doc_id)).limit(1)
 
-    def contents(self, dataset: str, ids: DataFrame, max_rows: int | None = None) -> DataFrame:
+    def contents(self, dataset: str, ids: DataFrame) -> DataFrame:
         """Texts of many ids as ``(doc_id, text)``; unknown ids are left out.
 
-        Few ids (``max_rows`` at most, where known) are broadcast to the corpus.
-        More are shuffled; without repetitions no id can be hot.
+        Few ids are broadcast to the corpus.  More are shuffled; without repetitions
+        no id can be hot.
         """
         wanted = ids.select("doc_id").distinct()
-        if max_rows is not None and max_rows <= BROADCAST_ROWS:
+        if rows_if_few(wanted) is not None:
             wanted = F.broadcast(wanted)
         return self.documents(dataset).join(wanted, "doc_id", "left_semi")

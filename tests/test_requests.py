@@ -1,7 +1,7 @@
 import pytest
 
 from gleanery.operators.encoders import HashEncoder
-from gleanery.plans.engine import Engine, build_chunks, build_embeddings, build_sparse
+from gleanery.plans.engine import Engine, build_chunks, build_embeddings, build_snippets, build_sparse
 from gleanery.plans.requests import METHODS, get_documents, run_requests, validate
 from gleanery.sources.artifacts import ArtifactStore
 from gleanery.streaming.feed import answer_stream
@@ -22,6 +22,7 @@ def engines(spark, tmp_path_factory):
     for name, docs in {"number": number, "string": string}.items():
         encoder = HashEncoder(32)
         build_sparse(store, name, docs)
+        build_snippets(store, name, docs)
         build_embeddings(store, name, docs, encoder)
         build_chunks(store, name, docs, encoder)
         out[name] = Engine.load(store, name, docs, encoder)
@@ -104,14 +105,15 @@ def test_only_bad_requests(spark, engines):
     assert results.count() == 0 and rejects.count() == 1
 
 
-def test_document_requests(spark):
+def test_document_requests(spark, monkeypatch):
     corpus = spark.createDataFrame([(0, "zero"), (1, "one")], "doc_id LONG, text STRING")
     asked = spark.createDataFrame(
         [(1, 0, "d"), (2, 5, "d"), (3, None, "d"), (4, 1, ""), (5, 1, "x"), (6, 0, "d")],
         "request_id LONG, doc_id LONG, dataset STRING",
     )
-    for bound in [6, None]:
-        got = {r["request_id"]: (r["content"], r["error"]) for r in get_documents(asked, {"d": corpus}, bound).collect()}
+    for few in [6, None]:
+        monkeypatch.setattr("gleanery.plans.requests.rows_if_few", lambda df: few)
+        got = {r["request_id"]: (r["content"], r["error"]) for r in get_documents(asked, {"d": corpus}).collect()}
         assert got == {
             1: ("zero", None),
             2: (None, "Document not found"),

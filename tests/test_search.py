@@ -26,6 +26,7 @@ from gleanery.operators.encoders import (
     process_queries,
 )
 from gleanery.operators.hybrid import rerank
+from gleanery.operators.ranking import snippet_table
 from gleanery.operators.scan import DenseQueries, SparseQueries, _best_cells, search_top_k
 from gleanery.operators.sparse import (
     Weighting,
@@ -143,7 +144,7 @@ QUERIES = ["green apples", "zebra", "the of", "", "wine red zebra wine", "pear"]
 def test_tfidf_search_against_brute_force(spark, corpus, model, top_n):
     lemmas, _, stats, vectors = model
     asked = queries_of(spark, *QUERIES)
-    got = tfidf_search(asked, corpus, vectors, stats, lemmas, top_n).collect()
+    got = tfidf_search(asked, snippet_table(corpus), vectors, stats, lemmas, top_n).collect()
     found = sorted((r["query_id"], r["rank"], r["doc_id"], r["score"]) for r in got)
     assert found == brute_force(QUERIES, top_n)
     assert {r["query_id"] for r in got} == {"q0", "q1", "q4", "q5"}  # blank ones have no rows
@@ -154,7 +155,7 @@ def test_tfidf_search_against_brute_force(spark, corpus, model, top_n):
 
 def test_unknown_words_only_give_zero_scores_in_id_order(spark, corpus, model):
     lemmas, _, stats, vectors = model
-    got = tfidf_search(queries_of(spark, "zebra"), corpus, vectors, stats, lemmas, 4).collect()
+    got = tfidf_search(queries_of(spark, "zebra"), snippet_table(corpus), vectors, stats, lemmas, 4).collect()
     assert sorted((r["rank"], r["doc_id"], r["score"]) for r in got) == [
         (n + 1, n, 0.0) for n in range(4)
     ]
@@ -177,7 +178,7 @@ def test_two_stage_selection(spark, corpus, model):
 def test_nothing_asked_or_nothing_wanted(spark, corpus, model):
     lemmas, _, stats, vectors = model
     for asked, top_n in [(queries_of(spark, "pear").limit(0), 5), (queries_of(spark, "pear"), 0)]:
-        assert tfidf_search(asked, corpus, vectors, stats, lemmas, top_n).count() == 0
+        assert tfidf_search(asked, snippet_table(corpus), vectors, stats, lemmas, top_n).count() == 0
 
 
 @pytest.mark.parametrize("k", [1, 7, 150])
@@ -248,7 +249,7 @@ def test_empty_query_vectors_have_no_rows_and_missing_documents_an_empty_snippet
     docs = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "doc_id LONG, embedding ARRAY<FLOAT>")
     asked = spark.createDataFrame([(1, []), (2, [1.0, 1.0])], "query_id LONG, query_vector ARRAY<FLOAT>")
     corpus = spark.createDataFrame([(2, "two")], "doc_id LONG, text STRING")
-    got = sorted(map(tuple, embedding_search(asked, docs, corpus).select("query_id", "rank", "doc_id", "snippet").collect()))
+    got = sorted(map(tuple, embedding_search(asked, docs, snippet_table(corpus)).select("query_id", "rank", "doc_id", "snippet").collect()))
     assert got == [(2, 1, 1, ""), (2, 2, 2, "two")]
 
 
