@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import split_words
-from gleanery.functions.vectors import dot, rounded, unit
+from gleanery.functions.vectors import pair_dot, rounded, unit
 from gleanery.operators.dense import broadcast_vectors, searchable
 from gleanery.operators.encoders import Encoder
 from gleanery.operators.joins import join_wanted
@@ -23,17 +23,16 @@ def chunk_documents(docs: DataFrame, size: int = 100, overlap: int = 20) -> Data
     """Windows of ``size`` words that overlap: ``(doc_id, chunk_no, text)``."""
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than the chunk size")
-    words = docs.select("doc_id", split_words(F.col("text")).alias("words"))
-    starts = F.sequence(F.lit(1), F.size("words"), F.lit(size - overlap))
-    return (
-        words.filter(F.size("words") > 0)
-        .select("doc_id", "words", F.posexplode(starts).alias("chunk_no", "start"))
-        .select(
-            "doc_id",
-            "chunk_no",
-            F.array_join(F.slice("words", F.col("start"), size), " ").alias("text"),
-        )
-    )
+
+    # All windows are cut inside the row, where the one-element array makes the words
+    # a variable: exploding the starts would copy all words once per chunk.
+    def windows(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words), F.lit(size - overlap))
+        cut = F.transform(starts, lambda at: F.array_join(F.slice(words, at, size), " "))
+        return F.when(F.size(words) > 0, cut)
+
+    texts = F.transform(F.array(split_words(F.col("text"))), windows)[0]
+    return docs.select("doc_id", F.posexplode(texts).alias("chunk_no", "text"))
 
 
 def build_chunk_vectors(
@@ -93,7 +92,7 @@ def chunk_search_in_candidates(
     wanted = candidates.select("query_id", "doc_id").distinct()
     pairs = join_wanted(chunks, wanted, "doc_id", max_candidates)
     scored = pairs.join(broadcast_vectors(unit_queries(query_vectors)), "query_id")
-    score = rounded(dot(F.col("embedding"), F.col("query_vector")), digits)
+    score = rounded(pair_dot(F.col("embedding"), F.col("query_vector")), digits)
     scored = scored.select("query_id", *CHUNK_KEY, score.alias("score"), "text")
     return top_ranked(scored, top_k, best_first(*CHUNK_KEY)).select(
         "query_id", "rank", *CHUNK_KEY, "score", F.col("text").alias("snippet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.vectors import cosine, rounded
+from gleanery.functions.vectors import pair_cosine, rounded
 from gleanery.operators.dense import broadcast_vectors, searchable
 from gleanery.operators.joins import join_wanted
 from gleanery.operators.ranking import top_ranked
@@ -31,7 +31,7 @@ def rerank(
         "query_id",
         "doc_id",
         "sparse_rank",
-        rounded(cosine(F.col("query_vector"), F.col("embedding")), digits).alias("score"),
+        rounded(pair_cosine(F.col("query_vector"), F.col("embedding")), digits).alias("score"),
     )
     ranked = top_ranked(scored, top_n, [F.desc("score"), F.asc("sparse_rank")])
     return ranked.select("query_id", "rank", "doc_id", "score")

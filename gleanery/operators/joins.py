@@ -89,8 +89,8 @@ def join_wanted(
 def look_up(rows: DataFrame, table: DataFrame, key: str, max_rows: int | None) -> DataFrame:
     """Left join of ``rows`` with a big ``table`` that has one row per ``key``."""
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
-        wanted = rows.select(key).distinct()
-        return rows.join(table.join(F.broadcast(wanted), key), key, "left")
+        wanted = F.broadcast(rows.select(key))
+        return rows.join(table.join(wanted, key, "left_semi"), key, "left")
     return _salted_join(rows, table, key, "left")
 
 

@@ -99,15 +99,15 @@ class Workbench:
     def lemmas(self) -> Lemmas:
         return Lemmas(self.sparse.read("lemmas", "documents"))
 
-    @property
+    @cached_property
     def bag(self) -> DataFrame:
         return self.sparse.read("bag", "documents")
 
-    @property
+    @cached_property
     def term_stats(self) -> DataFrame:
         return self.sparse.read("term_stats", "documents")
 
-    @property
+    @cached_property
     def doc_vectors(self) -> DataFrame:
         return self.sparse.read("doc_vectors", "documents")
 

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as t
-from gleanery.functions.vectors import cosine, rounded, unit
+from gleanery.functions.vectors import pair_cosine, pair_dot, rounded, unit
 from gleanery.operators import cleaning
 from gleanery.operators.cleaning import Lemmas, clean, noun_lemmas, vocabulary
 
@@ -119,8 +119,10 @@ def test_vector_columns(spark):
         [([3.0, 4.0], [6.0, 8.0]), ([0.0, 0.0], [1.0, 1.0]), ([1.0, 0.0], [-1e-9, 1.0])],
         "a ARRAY<FLOAT>, b ARRAY<FLOAT>",
     )
-    score = rounded(cosine(F.col("a"), F.col("b")), 6).alias("score")
-    rows = df.select(unit(F.col("a")).alias("u"), score).collect()
+    score = rounded(pair_cosine(F.col("a"), F.col("b")), 6).alias("score")
+    product = pair_dot(F.col("a"), F.col("b")).alias("dot")
+    rows = df.select(unit(F.col("a")).alias("u"), score, product).collect()
+    assert [r["dot"] for r in rows][:2] == [50.0, 0.0]
     assert rows[0]["u"] == [0.6000000238418579, 0.800000011920929]
     assert rows[1]["u"] == [0.0, 0.0]
     assert [str(r["score"]) for r in rows] == ["1.0", "0.0", "0.0"]
