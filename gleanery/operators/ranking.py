@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from gleanery.functions.text import snippet
 from gleanery.operators.joins import look_up
 
-# From this many rows per query on, ranking is done in two rounds.
-TWO_ROUNDS_FROM = 100
+# Parts of a query that are ranked by themselves before the whole query is.
 ROUND_ONE_PARTS = 32
 
 
-def top_ranked(df: DataFrame, k: int, order: list[Column], by: str = "query_id") -> DataFrame:
+def top_ranked(
+    df: DataFrame, k: int, order: list[Column], by: str = "query_id", two_rounds: bool = False
+) -> DataFrame:
     """The first ``k`` rows of each query in ``order``, numbered in ``rank``.
 
-    Every map task may hand in ``k`` rows per query; for a large ``k`` they are
-    first ranked within parts of a query, so that no task sorts them all.
+    Every map task may hand in ``k`` rows per query.  Where there are many tasks
+    (``two_rounds``) these are first ranked within parts of a query, so that no
+    task sorts them all.
     """
-    if k >= TWO_ROUNDS_FROM:
+    if two_rounds:
         parts = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(ROUND_ONE_PARTS)))
         within = Window.partitionBy(by, "_part").orderBy(*order)
         df = parts.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= k)

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gleanery.operators.ranking import best_first, top_ranked
+from gleanery.operators.ranking import ROUND_ONE_PARTS, best_first, top_ranked
+from gleanery.session import input_files
 
 # Scores held at once by a task, and the shape of one scoring step.
 STEP_ROWS = 4096
@@ -233,7 +234,9 @@ def search_top_k(
         hits, max_rows = _by_broadcast(queries, vectors, loader, scan, schema), n_queries * k
     else:
         hits, max_rows = _by_fragments(queries, vectors, loader, scan, schema, fragments), None
-    ranked = top_ranked(hits, k, best_first(*ties))
+    # One task can sort what a few files' tasks hand in, but not those of thousands.
+    many_tasks = max_rows is None or input_files(vectors) > ROUND_ONE_PARTS
+    ranked = top_ranked(hits, k, best_first(*ties), two_rounds=many_tasks)
     return ranked.select("query_id", "rank", *keep, "score"), max_rows
 
 

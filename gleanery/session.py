@@ -48,3 +48,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def input_files(df: DataFrame) -> int:
+    """How many files a table is read from; their names stay in the JVM."""
+    return len(df._jdf.inputFiles())

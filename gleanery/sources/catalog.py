@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators.joins import rows_if_few
+from gleanery.session import input_files
 
 
 class UnknownDataset(KeyError):
@@ -38,7 +39,7 @@ def read_spread(spark: SparkSession, path: str) -> DataFrame:
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if input_files(df) < cores else df
 
 
 class Catalog:

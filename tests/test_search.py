@@ -395,3 +395,18 @@ def test_rerank_keeps_sparse_order_on_ties_and_drops_what_has_no_vector(spark):
     for bound in [5, None]:
         got = rerank(candidates, asked, vectors, 2, bound).collect()
         assert sorted(map(tuple, got)) == [(1, 1, 11, 1.0), (1, 2, 13, 1.0)]
+
+
+@pytest.mark.parametrize("two_rounds", [False, True])
+def test_ranking_in_one_round_or_two(spark, two_rounds):
+    from gleanery.operators.ranking import best_first, top_ranked
+
+    rows = spark.range(0, 4000, 1, 16).select(
+        (F.col("id") % 3).alias("query_id"),
+        F.col("id").alias("doc_id"),
+        (F.col("id") % 7 / 7).alias("score"),
+    )
+    got = top_ranked(rows, 150, best_first("doc_id"), two_rounds=two_rounds).collect()
+    ranked = {q: [r["doc_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in range(3)}
+    for q, found in ranked.items():
+        assert found == sorted((i for i in range(q, 4000, 3)), key=lambda i: (-(i % 7), i))[:150]
