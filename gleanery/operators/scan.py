@@ -5,8 +5,10 @@ queries and hands in no more than the best ``k`` rows per query, so the shuffle
 that follows carries winners only, never one row per query and document.
 
 The queries travel to the tasks by broadcast as long as their number is within
-a checked bound.  Beyond it, queries and vectors are both cut into fragments and
-every pair of fragments is one group of bounded size; the result is the same.
+a checked bound.  Up to some multiples of it they go in slices, with one pass per
+slice and still no shuffle of vectors.  Beyond that, queries and vectors are both
+cut into fragments and every pair of fragments is one group of bounded size.  The
+result is the same each time.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gleanery.operators.ranking import ROUND_ONE_PARTS, best_first, top_ranked
-from gleanery.session import input_files
+from gleanery.session import input_files, materialise
 
 # Scores held at once by a task, and the shape of one scoring step.
 STEP_ROWS = 4096
@@ -35,6 +38,9 @@ STEP_QUERIES = 512
 QUERY_ENTRIES = 4_000_000
 QUERY_RESULTS = 2_000_000
 
+# Passes over the vectors, one per slice of queries, before both sides are fragmented.
+MAX_PASSES = 16
+
 # Vectors per fragment when both sides are fragmented.
 FRAGMENT_ROWS = 20_000
 
@@ -196,6 +202,11 @@ def _answer(result: pa.Table | None, ids: pa.Array, columns: list[str]) -> list[
     return named.select(columns).combine_chunks().to_batches(max_chunksize=10_000)
 
 
+def one_of(n: int, *keys: str) -> Column:
+    """Spread rows evenly over ``n`` numbers by a hash of unique keys."""
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+
+
 def measure(queries: DataFrame, entries: Column) -> tuple[int, int]:
     """Number of queries, and of vector entries over all of them."""
     return tuple(queries.agg(F.count(F.lit(1)), F.coalesce(F.sum(entries), F.lit(0))).first())
@@ -212,13 +223,14 @@ def search_top_k(
     digits: int | None = 6,
     max_entries: int = QUERY_ENTRIES,
     max_results: int = QUERY_RESULTS,
+    max_passes: int = MAX_PASSES,
 ) -> tuple[DataFrame, int | None]:
     """The best ``k`` rows of ``vectors`` for each query, numbered in ``rank``.
 
     ``loader`` turns an Arrow table of queries into a scorer; ``size`` is a checked
     upper bound of the number of queries and of the entries of their vectors, see
     ``measure``.  Also returns how many result rows there are at most, or ``None``
-    when the query side is beyond its bounds.
+    when that is not bounded.
     """
     n_queries, n_entries = size
     if k < 1:
@@ -229,13 +241,20 @@ def search_top_k(
         + [T.StructField("score", T.DoubleType())]
     )
     scan = Scan(k, tuple(keep), tuple(ties), digits)
-    fragments = max(math.ceil(n_queries * k / max_results), math.ceil(n_entries / max_entries))
-    if fragments <= 1:
+    slices = max(math.ceil(n_queries * k / max_results), math.ceil(n_entries / max_entries))
+    if slices <= 1:
         hits, max_rows = _by_broadcast(queries, vectors, loader, scan, schema), n_queries * k
+    elif slices <= max_passes:
+        written = materialise(queries, "queries")
+        passes = [
+            _by_broadcast(written.filter(one_of(slices, "query_id") == i), vectors, loader, scan, schema)
+            for i in range(slices)
+        ]
+        hits, max_rows = reduce(DataFrame.union, passes), n_queries * k
     else:
-        hits, max_rows = _by_fragments(queries, vectors, loader, scan, schema, fragments), None
+        hits, max_rows = _by_fragments(queries, vectors, loader, scan, schema, slices), None
     # One task can sort what a few files' tasks hand in, but not those of thousands.
-    many_tasks = max_rows is None or input_files(vectors) > ROUND_ONE_PARTS
+    many_tasks = slices > max_passes or input_files(vectors) > ROUND_ONE_PARTS
     ranked = top_ranked(hits, k, best_first(*ties), two_rounds=many_tasks)
     return ranked.select("query_id", "rank", *keep, "score"), max_rows
 
@@ -261,9 +280,6 @@ def _by_fragments(queries, vectors, loader, scan, schema, fragments) -> DataFram
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    def one_of(n: int, *keys: str):
-        return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
-
     left = queries.withColumn("_left", one_of(fragments, "query_id")).withColumn(
         "_right", every(blocks)
     )

@@ -182,7 +182,7 @@ def test_nothing_asked_or_nothing_wanted(spark, corpus, model):
 
 
 @pytest.mark.parametrize("k", [1, 7, 150])
-def test_fragments_give_the_same_rows_as_the_broadcast(spark, k, monkeypatch):
+def test_slices_and_fragments_give_the_same_rows_as_one_broadcast(spark, k, monkeypatch):
     from gleanery.operators import scan
 
     monkeypatch.setattr(scan, "FRAGMENT_ROWS", 70)
@@ -204,8 +204,8 @@ def test_fragments_give_the_same_rows_as_the_broadcast(spark, k, monkeypatch):
         return sorted(map(tuple, df.collect())), max_rows
 
     one, bound = rows()
-    many, unbounded = rows(max_entries=30)
-    assert one == many and bound == 20 * k and unbounded is None
+    assert rows(max_entries=30) == (one, bound) and bound == 20 * k  # four passes
+    assert rows(max_entries=30, max_passes=1) == (one, None)
     products = F.zip_with("query_vector", "embedding", lambda x, y: x.cast("double") * y)
     dot = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
     sizes = norm(F.col("query_vector")) * norm(F.col("embedding"))
@@ -233,6 +233,7 @@ def test_sparse_fragments(spark, corpus, model):
         return sorted(map(tuple, df.collect()))
 
     assert rows() == rows(max_results=5) == brute_force(QUERIES, 4)
+    assert rows(max_results=5, max_passes=1) == rows()
 
 
 def test_many_small_batches(spark, setting):
