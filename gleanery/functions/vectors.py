@@ -32,7 +32,7 @@ def _rows(lists: pa.Array) -> np.ndarray:
 
 
 # Products of pairs of vectors run on Arrow batches: summing up arrays with SQL
-# lambdas took about four times as long, see the README.
+# lambdas took several times as long, see the README.
 
 
 def pair_dot(a: Column, b: Column) -> Column:
