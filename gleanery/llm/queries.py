@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import quality
+from gleanery.llm import fingerprints, quality
 
 QUERIES = {}
 SQL = {}
@@ -27,3 +27,8 @@ def op9_quality_rules(spark, folder):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
+
+
+@registered
+def op7_document_fingerprints(spark, folder):
+    return fingerprints.compare_with_next(table(spark, folder, "documents").select("doc_id", "text"))
