@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import fingerprints, quality
+from gleanery.llm import fingerprints, language, quality
 
 QUERIES = {}
 SQL = {}
@@ -32,3 +32,13 @@ def op9_quality_rules(spark, folder):
 @registered
 def op7_document_fingerprints(spark, folder):
     return fingerprints.compare_with_next(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@registered
+def op10_language_id(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs, "doc_id", "text", "lang", language.third("doc_id") != 1)
+    held_out = F.coalesce(language.third("doc_id") == 1, F.lit(False)).alias("held_out")
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out, "lang_pred", "score"
+    )
