@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import fingerprints, language, quality
+from gleanery.llm import bytepairs, counting, fingerprints, language, quality
 
 QUERIES = {}
 SQL = {}
@@ -42,3 +43,24 @@ def op10_language_id(spark, folder):
     return language.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out, "lang_pred", "score"
     )
+
+
+@registered
+def op5_token_counts(spark, folder):
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file:
+        definition = file.read()
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return counting.count_tokens(docs, definition).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@registered
+def op6_byte_bpe(spark, folder):
+    ranks = bytepairs.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    pairs = bytepairs.BytePairs(spark, ranks, public_tokenizers.PATTERN)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pairs.round_trip(docs).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
