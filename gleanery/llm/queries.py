@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bytepairs, counting, fingerprints, language, quality
+from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality
 
 QUERIES = {}
 SQL = {}
@@ -64,3 +64,11 @@ def op6_byte_bpe(spark, folder):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@registered
+def op3_packing(spark, folder):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        definition = file.read()
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs, definition, public_tokenizers.PATTERN)
