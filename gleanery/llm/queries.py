@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality
+from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality, warc
 
 QUERIES = {}
 SQL = {}
@@ -72,3 +72,32 @@ def op3_packing(spark, folder):
         definition = file.read()
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return packing.pack(docs, definition, public_tokenizers.PATTERN)
+
+
+@registered
+def op8_warc(spark, folder):
+    path = warc.archive_folder(spark)
+    warc.write_archive(table(spark, folder, "pages"), path)
+    return warc.read_archive(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+SQL["op8_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), q AS (
+  SELECT page_id, octet_length(body) AS n, hex,
+         max(page_id) OVER (PARTITION BY hex, octet_length(body)) AS kept
+  FROM p
+), bits AS (
+  SELECT *, list_transform(range(0, 8), lambda i: ('0x' || hex[5 * i + 1 : 5 * i + 5])::BIGINT) AS g FROM q
+)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda j:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+           ((g[j // 4 + 1] >> (15 - 5 * (j % 4))) & 31) + 1]), '') AS payload_digest,
+       CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = kept THEN NULL ELSE kept END AS refers_to
+FROM bits
+"""
