@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 CHUNK, OVERLAP = 1 << 15, 256
 #: Characters that are encoded in one call of the library, and words that are remembered.
-CALL, REMEMBERED = 1 << 20, 400_000
+CALL, REMEMBERED = 1 << 20, 1_000_000
+#: Words that are encoded in one call.
+TOGETHER = 512
 
 
 class Counter:
@@ -43,6 +45,11 @@ class Counter:
         for token, i in vocabulary.items():
             self.ends[i] = i in added or token.endswith(word_end)
         self.known: dict[bytes, int] = {}
+        # a special string counts in its own case only, so text near one keeps its case
+        self.special = {t.content[:2].encode("utf-8") for t in added.values()}
+        self.lowers = self.tokenizer.normalizer is not None and all(
+            self.tokenizer.normalizer.normalize_str(c) == c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        )
 
     def counts(self, texts: list[str], chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
         out, group, size = [0] * len(texts), [], 0
@@ -59,16 +66,28 @@ class Counter:
         return out
 
     def _whole(self, texts, group, out):
-        split = [texts[i].encode("utf-8").split() for i in group]
+        split = [self._words(texts[i].encode("utf-8")) for i in group]
         if len(self.known) > REMEMBERED:
             self.known = {}
         unseen = list(set().union(*split) - self.known.keys())
-        words = [w.decode("utf-8") for w in unseen]
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self.known.update(zip(unseen, map(len, found)))
+        for i in range(0, len(unseen), TOGETHER):
+            self._learn(unseen[i : i + TOGETHER])
         for i, pieces in zip(group, split):
             out[i] = sum(map(self.known.__getitem__, pieces))
 
+    def _words(self, text: bytes) -> list[bytes]:
+        """Words in lower case, as the normaliser has them; special strings keep theirs."""
+        lower = self.lowers and not any(s in text for s in self.special)
+        return (text.lower() if lower else text).split()
+
+    def _learn(self, unseen: list[bytes]):
+        """Counts of new words, encoded as one text; offsets tell whose a token is."""
+        words = [w.decode("utf-8") for w in unseen]
+        starts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+        offsets = self.tokenizer.encode(" ".join(words), add_special_tokens=False).offsets
+        owner = np.searchsorted(starts, np.array([o[0] for o in offsets], np.int64), "right") - 1
+        self.known.update(zip(unseen, np.bincount(owner, minlength=len(words)).tolist()))
+
     def _encode(self, text: str, first: int, last: int):
         """Ids, beginnings of words and their absolute offsets of one chunk."""
         encoding = self.tokenizer.encode(text[first:last], add_special_tokens=False)
