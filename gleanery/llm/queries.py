@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality, warc
+from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality, similar, warc
 
 QUERIES = {}
 SQL = {}
@@ -101,3 +101,8 @@ SELECT page_id, n::BIGINT AS payload_bytes,
        CASE WHEN page_id = kept THEN NULL ELSE kept END AS refers_to
 FROM bits
 """
+
+
+@registered
+def op1_ngram_jaccard_join(spark, folder):
+    return similar.jaccard_components(table(spark, folder, "documents").select("doc_id", "text"))
