@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality, similar, warc
+from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality, similar, substrings, warc
 
 QUERIES = {}
 SQL = {}
@@ -106,3 +106,33 @@ FROM bits
 @registered
 def op1_ngram_jaccard_join(spark, folder):
     return similar.jaccard_components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@registered
+def op4_substring_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256")
+    )
+
+
+SQL["op4_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(ws[i : i + 34], ' ') AS s
+  FROM w, unnest(range(1, len(ws) - 33)) AS t(i)
+), repeated AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS c FROM windows
+  ) WHERE c > 1
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM repeated, unnest(range(i, i + 35)) AS t(p)
+), removed AS (
+  SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE
+         list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN removed USING (doc_id)
+"""

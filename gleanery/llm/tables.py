@@ -21,10 +21,10 @@ class Scratch:
         self.folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         self.n += 1
         path = f"{self.folder}/{name}-{self.n}"
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=partition_by)
         table = self.spark.read.schema(df.schema).parquet(path)
         table.scratch_path = path
         return table
