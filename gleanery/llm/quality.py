@@ -161,4 +161,6 @@ def judge(
         "kept", ~F.col("base_failed") & (F.col("lost_words") * 100 <= n * rules.max_lost_share)
     )
     carried = [F.col(f"_in.`{c}`").alias(c) for c in docs.columns if c not in results]
-    return out.select(*carried, *results)
+    # through a generator, below which the optimizer copies no filter on a result: a filter
+    # on ``kept`` would repeat all that it is made of, many times over
+    return out.select(F.inline(F.array(F.struct(*carried, *results))))
