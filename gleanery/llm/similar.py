@@ -1,16 +1,18 @@
 """N-gram Jaccard join by grouped prefixes: which documents share enough word shingles.
 
-1. A document's set holds the 64-bit hashes of its distinct shingles.  Documents of equal
-   sets are one node; of ``n`` shingles the ``head`` of smallest hashes is written down.
-2. Similar sets have ``overlap`` head shingles in common.  Of a head ordered by document
-   frequency, the rarest ones up to that overlap are the prefix; shingles that occur once
-   link nothing and only use up its length, so most documents end here.
+1. A document's set holds the 64-bit hashes of its distinct shingles.  Similar sets share
+   a part of their heads, the smallest hashes: documents whose head shares too little with
+   all others end here.  Documents of equal sets go on as one node.
+2. Of the nodes' whole sets, ordered by document frequency, the rarest shingles are the
+   prefix; shingles that occur once link nothing and only use up its length.
 3. Nodes of equal size and prefix are one group.  In every posting list of a prefix
-   shingle, groups are compared with the list's smallest group, and members with the
+   shingle, groups are compared with the list's most connected one, and members with the
    representative of their own: as many pairs as postings, never all pairs of a list.
 4. Of what is still in different components, pairs of groups that share a posting list
-   are filtered by size and by the triangle inequality of the Jaccard distance, with the
-   distances that step 3 measured; the rest is expanded and verified, so no link is lost.
+   are filtered by size, by the place of the first common shingle in both orders, behind
+   which enough must be left, and by the triangle inequality of the Jaccard distance with
+   the distances that step 3 measured; the rest is expanded and verified, so no link is
+   lost.
 
 Defined results: a text without words, or null, has an empty set and a component of its
 own; a null key is no candidate for a component's name (a component without any has null);
@@ -19,6 +21,8 @@ rows of equal keys are documents of their own; other columns do not take part.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,6 +34,8 @@ from gleanery.llm.words import Words, mix, parts, runs
 
 #: Ids that are broadcast at most, eight bytes each; beyond, the join is a shuffle.
 BROADCAST_IDS = 500_000
+#: Further hubs of a posting list that are tried before its groups are paired.
+MORE_HUBS, MORE_PICKS = 3, 8
 
 
 def _least_overlap(n, percent: int):
@@ -38,8 +44,8 @@ def _least_overlap(n, percent: int):
 
 
 def _support(n):
-    """Head shingles in common that are asked for beyond the plain prefix filter."""
-    return -(-n // 20)
+    """Head shingles that similar sets of n have in common at least."""
+    return -(-n // 10)
 
 
 def _head(n: int, percent: int) -> int:
@@ -113,22 +119,30 @@ def full_sets(docs: DataFrame, text: str, shingle: int) -> DataFrame:
     return docs.select(text).mapInArrow(run, "sig binary, members array<long>")
 
 
-def _with_prefixes(scratch: Scratch, heads: DataFrame, percent: int) -> DataFrame:
-    """``(rid, sig, n, prefix)`` of the rows whose prefix holds a shingle of another row."""
+def _sharing(heads: DataFrame, percent: int) -> DataFrame:
+    """``(rid, sig, n)`` of the rows whose head shares enough with other heads."""
     rows = heads.select(F.explode("head").alias("h"), "rid")
+    counts = rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select("h")
+    shared = rows.join(counts, "h").groupBy("rid").agg(F.count("*").alias("shared"))
+    least = F.floor((F.floor((F.col("n") * percent + 99) / 100) + 9) / 10)
+    return heads.select("rid", "sig", "n").join(shared, "rid").filter(F.col("shared") >= least).drop("shared")
+
+
+def _with_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """``(node, n, r, prefix)`` of the nodes whose prefix holds a shingle of another node.
+
+    ``r`` of the n shingles occur in another set.  The others come first in the order and
+    use up the prefix without a posting.
+    """
+    rows = sets.select(F.explode("members").alias("h"), "node", F.size("members").cast("long").alias("n"))
     counts = rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = rows.join(counts, "h").groupBy("rid").agg(
-        F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared")
-    )
-    # how many of the head may be in the prefix, less those that occur once and come first
-    need = F.floor((F.col("n") * percent + 99) / 100).cast("long")
-    room = F.size("shared") - F.floor((need + 19) / 20).cast("int") + 1
-    return (
-        heads.select("rid", "sig", "n")
-        .join(shared, "rid")
-        .filter(room > 0)
-        .select("rid", "sig", "n", F.transform(F.slice("shared", F.lit(1), room), lambda x: x["h"]).alias("prefix"))
+    shared = rows.join(counts, "h").groupBy("node").agg(
+        F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared")
     )
+    r = F.size("shared").cast("long")
+    room = r - F.floor((F.col("n") * percent + 99) / 100) + 1
+    first = F.slice("shared", F.lit(1), room.cast("int"))
+    return shared.filter(room > 0).select("node", "n", r.alias("r"), F.transform(first, lambda x: x["h"]).alias("prefix"))
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -147,50 +161,91 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _may_link(n1: Column, r1: Column, n2: Column, r2: Column, percent: int) -> Column:
+    """Sizes fit, and what both sets share at most is enough.
+
+    At a posting ``r`` is what is left from its place on: shingles before the first common
+    one are not shared.  A pair fails at its later postings at worst, never at its first.
+    """
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (
+        (100 + percent) * F.least(r1, r2) >= percent * (n1 + n2)
+    )
 
 
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "similar")
+    scratch = Scratch(docs.sparkSession, "similar")
     heads = scratch.write(shingle_heads(docs, key, text, shingle, percent), "heads")
-    candidates = scratch.write(_with_prefixes(scratch, heads, percent), "candidates")
+    nodes = _sharing(heads, percent).groupBy("sig").agg(F.min("rid").alias("node"))
+    nodes = scratch.write(nodes, "nodes")
     rows = scratch.write(heads.drop("head"), "rows")
     scratch.release(heads)
 
-    nodes = candidates.groupBy("sig").agg(
-        F.min("rid").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
-    )
-    same = [F.xxhash64("n", "prefix").alias("p"), F.xxhash64("prefix", "n").alias("q")]
-    nodes = scratch.write(nodes.select("*", *same), "nodes")
-    groups = nodes.groupBy("p", "q").agg(F.min("node").alias("gid"))
-    members = scratch.write(nodes.join(groups, ["p", "q"]).select("node", "gid", "n", "prefix"), "members")
-
     sets = scratch.write(_member_sets(docs, rows, nodes, key, text, shingle), "sets")
+    members = _with_prefixes(sets, percent)
+    same = [F.xxhash64("n", "prefix").alias("p"), F.xxhash64("prefix", "n").alias("q")]
+    members = scratch.write(members.select("*", *same, (1000 * (F.col("n") - F.col("r")) / F.col("n")).cast("int").alias("alone")), "members")
+    scratch.release()
+    groups = members.groupBy("p", "q").agg(F.min(F.struct("alone", "node"))["node"].alias("gid"))
+    members = scratch.write(members.join(groups, ["p", "q"]).drop("p", "q"), "members")
 
     reps = members.filter("node = gid")
-    postings = scratch.write(reps.select(F.explode("prefix").alias("h"), "gid", "n"), "postings")
-    hubs = postings.groupBy("h").agg(F.min(F.struct("gid", "n")).alias("hub"), F.count("*").alias("groups"))
-    hubs = hubs.filter("groups > 1").select("h", F.col("hub.gid").alias("hub"), F.col("hub.n").alias("hub_n"))
-    near = postings.join(hubs, "h").filter(
-        (F.col("gid") != F.col("hub")) & _sizes_fit(F.col("n"), F.col("hub_n"), percent)
+    postings = scratch.write(reps.select("gid", "n", "r", "alone", F.posexplode("prefix").alias("place", "h")), "postings")
+    postings = postings.withColumn("rest", F.col("r") - F.col("place"))
+    hubs = postings.groupBy("h").agg(
+        F.count("*").alias("groups"),
+        *[
+            F.min(F.struct(order, "gid", "n", "rest")).alias(f"hub{i}")
+            for i, order in enumerate([(1000 * (F.col("n") - F.col("rest")) / F.col("n")).cast("int").alias("o"), *[F.xxhash64("gid", F.lit(i)).alias("o") for i in range(MORE_HUBS)]])
+        ],
     )
-    pairs = near.select(F.col("gid").alias("a"), F.col("hub").alias("b")).distinct()
-    own = members.filter("node != gid").select(F.col("node").alias("a"), F.col("gid").alias("b"))
-    first = scratch.write(_compared(pairs.union(own), sets, percent), "compared")
-    found = components(scratch, first.filter("linked").select("a", "b"))
-    found = scratch.write(found, "components")
+    hubs = scratch.write(hubs.filter("groups > 1"), "hubs")
 
+    def near(i):
+        """Groups against the lists' hubs of number i, as far as they may link."""
+        hub = hubs.select("h", F.col(f"hub{i}.gid").alias("hub"), F.col(f"hub{i}.n").alias("hub_n"), F.col(f"hub{i}.rest").alias("hub_rest"))
+        fits = _may_link(F.col("n"), F.col("rest"), F.col("hub_n"), F.col("hub_rest"), percent)
+        pairs = postings.join(hub, "h").filter((F.col("gid") != F.col("hub")) & fits)
+        return pairs.select(F.col("gid").alias("a"), F.col("hub").alias("b"))
+
+    own = members.filter("node != gid").select(F.col("node").alias("a"), F.col("gid").alias("b"))
+    first = scratch.write(_compared(near(0).distinct().union(own), sets, percent), "compared")
+    scratch.release()
+    found = scratch.write(components(scratch, first.filter("linked").select("a", "b")), "components")
+
+    # groups that did not meet their component in the first hub try a few others, and
+    # members that are unlike their representative try some of their own group
+    picks = members.groupBy("gid").agg(
+        F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"] for i in range(MORE_PICKS)])).alias("picks")
+    )
+    astray = members.filter("node != gid").select("node", "gid").join(
+        first.filter("not linked").select(F.col("a").alias("node"), F.col("b").alias("gid")), ["node", "gid"], "left_semi"
+    )
+    within = astray.join(picks, "gid").select(F.col("node").alias("a"), F.explode("picks").alias("b")).filter("a != b")
+    others = reduce(DataFrame.union, [near(1 + i) for i in range(MORE_HUBS)]).union(within).distinct()
+    for side in "ab":
+        of = found.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+        others = others.join(of, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    others = others.filter("of_a != of_b").select("a", "b")
+    found, links = _grown(scratch, found, first.filter("linked").select("a", "b"), _compared(others, sets, percent))
+
+    hubs = hubs.select("h", F.col("hub0.gid").alias("hub"))
     more = scratch.write(_across(members, hubs, first, found, percent), "across")
+    scratch.release()
     if not more.isEmpty():
-        second = _compared(more, sets, percent).filter("linked").select("a", "b")
-        found = components(scratch, first.filter("linked").select("a", "b").union(second))
-        found = scratch.write(found, "components")
-    return _named(rows, nodes.select("sig", "node"), found)
+        found, _ = _grown(scratch, found, links, _compared(more, sets, percent))
+    return _named(rows, nodes, found)
+
+
+def _grown(scratch: Scratch, found: DataFrame, links: DataFrame, compared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components and links after further comparisons, those before if none links."""
+    new = scratch.write(compared.filter("linked").select("a", "b"), "links")
+    if new.isEmpty():
+        return found, links
+    links = links.union(new)
+    return scratch.write(components(scratch, links), "components"), links
 
 
 def _member_sets(docs, rows, nodes, key, text, shingle) -> DataFrame:
@@ -217,9 +272,10 @@ def _across(members: DataFrame, hubs: DataFrame, compared: DataFrame, found: Dat
         "inner", F.when(F.col("node") == F.col("gid"), F.lit(0.0)).otherwise(F.coalesce("inner", F.lit(1.0)))
     )
     units = placed.groupBy("gid", "component").agg(
-        F.min("n").alias("n"), F.max("inner").alias("spread"), F.first("prefix").alias("prefix")
+        F.first("n").alias("n"), F.max("r").alias("r"), F.max("inner").alias("spread"), F.first("prefix").alias("prefix")
     )
-    listed = units.select(F.explode("prefix").alias("h"), "gid", "component", "n", "spread")
+    listed = units.select("gid", "component", "n", "r", "spread", F.posexplode("prefix").alias("place", "h"))
+    listed = listed.withColumn("rest", F.col("r") - F.col("place"))
     sizes = listed.groupBy("h", "component").agg(F.count("*").alias("units"))
     mixed = sizes.groupBy("h").agg(F.max_by("component", F.struct("units", "component")).alias("main"), F.count("*").alias("k"))
     listed = listed.join(mixed.filter("k > 1").select("h", "main"), "h").join(hubs.select("h", "hub"), "h", "left")
@@ -235,18 +291,22 @@ def _across(members: DataFrame, hubs: DataFrame, compared: DataFrame, found: Dat
         right,
         (F.col("l.h") == F.col("r.h"))
         & (F.col("l.component") != F.col("r.component"))
-        & _sizes_fit(F.col("l.n"), F.col("r.n"), percent)
+        & _may_link(F.col("l.n"), F.col("l.rest"), F.col("r.n"), F.col("r.rest"), percent)
         & (gap - F.col("l.spread") - F.col("r.spread") <= limit),
     ).groupBy(
         F.col("l.gid").alias("gid"), F.col("l.component").alias("component"),
         F.col("r.gid").alias("gid2"), F.col("r.component").alias("component2"),
     ).agg(F.max(gap).alias("gap"))
-    one = placed.select("gid", "component", F.col("node").alias("x"), F.col("inner").alias("dx"))
+    one = placed.select("gid", "component", F.col("node").alias("x"), F.col("inner").alias("dx"), F.col("n").alias("n1"), F.col("r").alias("r1"))
     two = placed.select(
-        F.col("gid").alias("gid2"), F.col("component").alias("component2"), F.col("node").alias("y"), F.col("inner").alias("dy")
+        F.col("gid").alias("gid2"), F.col("component").alias("component2"), F.col("node").alias("y"),
+        F.col("inner").alias("dy"), F.col("n").alias("n2"), F.col("r").alias("r2"),
     )
     pairs = units.join(one, ["gid", "component"]).join(two, ["gid2", "component2"])
-    pairs = pairs.filter(F.col("gap") - F.col("dx") - F.col("dy") <= limit)
+    pairs = pairs.filter(
+        (F.col("gap") - F.col("dx") - F.col("dy") <= limit)
+        & _may_link(F.col("n1"), F.col("r1"), F.col("n2"), F.col("r2"), percent)
+    )
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

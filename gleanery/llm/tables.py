@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,13 @@ class Scratch:
         return table
 
     def release(self, *tables: DataFrame) -> None:
+        """Deletes tables, and lets Spark delete the shuffle files of finished queries.
+
+        Spark's cleaner removes them once the driver's garbage is collected, which by
+        itself happens long after they have filled the disks.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
         for table in tables:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
