@@ -112,7 +112,7 @@ def _messages(docs: DataFrame, window: int, seed: int, blocks: int) -> DataFrame
             for part in parts(texts):
                 mine = slice(done, done + len(part))
                 words, of, at, whole, row, seeds = _windows(part, window, seed)
-                wanted = np.unique(anchors[mine].flatten().to_numpy()).view(np.uint64)
+                wanted = np.unique(anchors[mine].flatten().to_numpy().view(np.uint64))
                 place = np.searchsorted(wanted, seeds[at])
                 hit = whole & (wanted[np.minimum(place, len(wanted) - 1)] == seeds[at])
                 found = np.unique(of[hit])

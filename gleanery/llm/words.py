@@ -26,7 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power(base: int, n: int) -> np.ndarray:
     """base to the power 0, 1, ... n - 1, modulo 2 to the 64."""
-    if len(_powers.get(base, ())) < n:
+    if base not in _powers or len(_powers[base]) < n:
         factors = np.full(max(n, PART + 1), base, np.uint64)
         factors[0] = 1
         _powers[base] = np.multiply.accumulate(factors)
