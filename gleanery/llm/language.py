@@ -42,8 +42,8 @@ WINDOW = 1 << 20
 class Training:
     """``max_rows`` bounds the labelled rows of the sample, shared evenly by languages."""
 
-    max_rows: int = 1200
-    buckets: int = 4096
+    max_rows: int = 800
+    buckets: int = 2048
     penalty: float = 1e-4
     steps: int = 200
     slope: float = 3.0
