@@ -20,7 +20,7 @@ BOILERPLATE = (
     "(?i)all rights reserved|licensed under|released under the|terms of (use|service)|"
     "privacy policy|accept cookies|uses cookies|enable javascript|click here to|subscribe to our"
 )
-CLOSED = "[.!?…:;\"'”’»)\\]]$"
+CLOSED = r"""[.!?…:;"'”’»)\]]\z"""
 
 
 @dataclass(frozen=True)

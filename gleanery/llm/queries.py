@@ -136,3 +136,76 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_r
          list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN removed USING (doc_id)
 """
+
+
+SQL["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s
+  FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a AS doc_id, a AS r FROM both_ways
+  UNION
+  SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a
+), smallest AS (
+  SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(m, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
+"""
+
+SQL["op9_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d
+), windows AS (
+  SELECT doc_id, i, array_to_string(ws[i : i + 7], ' ') AS s FROM w, unnest(range(1, len(ws) - 6)) AS u(i)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n_rep
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM windows) x,
+       unnest(range(i, i + 8)) AS v(p)
+  WHERE c > 1 GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS own
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d)
+), counted AS (
+  SELECT *, len(own) AS n, (length(l) - length(replace(l, '!!', ''))) / 2 AS shouts,
+         length(l) - length(replace(l, '|', '')) AS bars, length(l) - length(translate(l, '#*$%&<>', '')) AS signs
+  FROM lines
+), judged AS (
+  SELECT doc_id, l, n, n > 0 AND (
+    NOT regexp_matches(l, '\p{{L}}') OR regexp_matches(l, '{quality.BOILERPLATE}')
+    OR (n < 3 AND NOT regexp_matches(trim(l), '{quality.CLOSED.replace("'", "''")}'))
+    OR (bars >= 2 AND bars * 100 >= length(l) * 4) OR (signs >= 2 AND signs * 100 >= length(l) * 5)
+    OR (shouts >= 3 AND shouts * 100 >= n * 30) OR (n >= 20 AND len(list_distinct(own)) * 100 < n * 40)
+  ) AS fails FROM counted
+), by_doc AS (
+  SELECT doc_id, coalesce(sum(n) FILTER (fails), 0) AS lost,
+         count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS dup
+  FROM judged GROUP BY doc_id
+), base AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS chars,
+         length(t) - length(translate(t, '{quality.SYMBOLS}', '')) AS symbols, coalesce(n_rep, 0) AS n_rep
+  FROM w LEFT JOIN repeated USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, chars::BIGINT AS word_chars, symbols::BIGINT AS n_symbols,
+       dup::BIGINT AS n_dup_lines, n_rep::BIGINT AS n_repeat_words,
+       n_words < 20 OR 100 * n_rep > 30 * n_words AS base_failed,
+       n_words >= 20 AND 100 * n_rep <= 30 * n_words AND lost * 100 <= n_words * 40 AS kept
+FROM base JOIN by_doc USING (doc_id)
+"""
