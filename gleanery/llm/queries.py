@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality, similar, substrings, warc
+from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality, similar, substrings, urlfilters, warc
 
 QUERIES = {}
 SQL = {}
@@ -209,3 +209,70 @@ SELECT doc_id, n_words::BIGINT AS n_words, chars::BIGINT AS word_chars, symbols:
        n_words >= 20 AND 100 * n_rep <= 30 * n_words AND lost * 100 <= n_words * 40 AS kept
 FROM base JOIN by_doc USING (doc_id)
 """
+
+
+def number_of(text: Column, seed: str) -> Column:
+    """A number below 2 to the 24 that depends on the text, the same in SQL."""
+    return F.conv(F.substring(F.md5(F.concat(text, F.lit(seed))), 1, 6), 16, 10).cast("int")
+
+
+@registered
+def op2_url_filters(spark, folder):
+    """Pages have no fetch day and come without lists; both follow from their URLs.
+
+    A third of all hosts is listed for a time and some again later; of the domains above
+    them an eighth; and a ninth of the first path steps.
+    """
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_on", number_of(F.col("url"), "fetch") % 365)
+    host = urlfilters.host_of(F.col("url"))
+    step = F.regexp_extract(F.lower("url"), urlfilters.ADDRESS, 2)
+    first = F.concat(host, F.regexp_extract(step, "^(/[^/]+)", 1))
+    domain = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
+
+    def dated(name, key, part):
+        keys = pages.select(key.alias("key")).filter("key is not null and key <> ''").distinct()
+        day = number_of(F.col("key"), name) % 300
+        keys = keys.filter(number_of(F.col("key"), "pick") % part == 0)
+        history = [(day, True), (day + 40, False), (F.when(day % 2 == 0, day + 55), True)]
+        events = F.explode(F.array(*[F.struct(d.alias("day"), F.lit(on).alias("listed")) for d, on in history]))
+        return keys.select(F.lit(name).alias("list"), "key", events.alias("e")).select("list", "key", "e.*")
+
+    entries = dated("hosts", host, 3).union(dated("domains", domain, 8)).union(dated("paths", first, 9))
+    return urlfilters.filter_captures(captures, entries).select(
+        "page_id", "host", "fetched_on", "n_active", "lists", "matched", "blocked"
+    )
+
+
+SQL["op2_url_filters"] = r"""
+WITH parsed AS (
+  SELECT page_id, url, nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '\.$', ''), '') AS host,
+         regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?[^/?#:]+(?::[0-9]*)?(/[^?#]*)?', 1) AS path,
+         ('0x' || substr(md5(url || 'fetch'), 1, 6))::INT % 365 AS fetched_on
+  FROM pages
+), names AS (
+  SELECT DISTINCT 'hosts' AS list, host AS key, 3 AS part FROM parsed
+  UNION SELECT DISTINCT 'domains', regexp_extract(host, '([^.]+\.[^.]+)$', 1), 8 FROM parsed
+  UNION SELECT DISTINCT 'paths', host || regexp_extract(path, '^(/[^/]+)', 1), 9 FROM parsed
+), picked AS (
+  SELECT list, key, ('0x' || substr(md5(key || list), 1, 6))::INT % 300 AS day FROM names
+  WHERE key <> '' AND ('0x' || substr(md5(key || 'pick'), 1, 6))::INT % part = 0
+), active AS (
+  SELECT list, key, day AS a, day + 40 AS b FROM picked
+  UNION ALL SELECT list, key, day + 55, 100000 FROM picked WHERE day % 2 = 0
+), labels AS (
+  SELECT page_id, host, fetched_on, string_split(host, '.') AS l,
+         list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM parsed WHERE host IS NOT NULL
+), keys AS (
+  SELECT page_id, fetched_on, array_to_string(l[i:], '.') AS key FROM labels, unnest(range(1, len(l) + 1)) AS t(i)
+  UNION SELECT page_id, fetched_on, host || '/' || array_to_string(s[1:i], '/')
+  FROM labels, unnest(range(1, len(s) + 1)) AS t(i)
+), found AS (
+  SELECT page_id, count(*) AS n, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+         string_agg(DISTINCT key, ' ' ORDER BY key) AS matched
+  FROM keys JOIN active USING (key) WHERE a <= fetched_on AND fetched_on < b GROUP BY page_id
+)
+SELECT page_id, host, fetched_on, coalesce(n, 0)::BIGINT AS n_active, coalesce(lists, '') AS lists,
+       coalesce(matched, '') AS matched, n IS NOT NULL AS blocked
+FROM parsed LEFT JOIN found USING (page_id)
+"""
