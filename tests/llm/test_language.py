@@ -1,0 +1,43 @@
+import os
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from gleanery.llm import language
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no fixture tables")
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language.learn(docs, "doc_id", "text", "lang", language.third("doc_id") != 1)
+    assert [language.FAMILIES["germanic"].find(c) >= 0 for c in model.languages] == [True, True, False, False]
+    assert len(model.pairs) == 2 and model.families == 2
+    found = language.identify(docs, model).filter(language.third("doc_id") == 1)
+    right, n = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert n > 250 and right > 0.98
+    assert found.filter("score < 0 or score > 1").count() == 0
+
+
+def test_edge_rows(spark):
+    rows = [(1, "this is the text of it", "en", 0.5), (2, "dies ist der Text", "de", 1.0), (3, None, "en", None),
+            (4, "", "de", None), (5, "12 34 !!", "en", None), (None, "words without a key", None, None),
+            (2, "dies ist der Text", "de", 1.0), (6, "lang " * 300000, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    model = language.learn(docs, "doc_id", "text", "lang", F.lit(True))
+    found = language.identify(docs, model).collect()
+    assert len(found) == len(rows)
+    assert all(r.lang_pred == "und" and r.score == 0 for r in found if r.doc_id in (3, 4, 5))
+    assert {r.lang_pred for r in found if r.doc_id == 2} == {"de"}
+    nothing = language.learn(docs.limit(0), "doc_id", "text", "lang", F.lit(True))
+    assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
+    assert language.identify(docs.limit(0), model).count() == 0
+
+
+def test_margins_do_not_depend_on_windows(monkeypatch):
+    texts = pa.array(["some words " * 50, "", None, "Größe über Länge " * 20, "x"])
+    whole = language.shares(texts, 256)
+    monkeypatch.setattr(language, "WINDOW", 37)
+    assert abs(whole - language.shares(texts, 256)).max() < 1e-6
