@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.text import content_words
 from gleanery.operators.joins import join_by_frequency
+from gleanery.session import materialise
 
 # Noun endings and what a singular has in their place.
 NOUN_ENDINGS = {
@@ -86,48 +87,49 @@ class Lemmas:
     @cached_property
     def pairs(self) -> pa.Table | None:
         """All pairs, fetched once; ``None`` if there are too many to pass around."""
-        head = self.table.select("word", "lemma").limit(self.max_pairs + 1).toArrow()
+        one_each = self.table.groupBy("word").agg(F.min("lemma").alias("lemma"))
+        head = one_each.limit(self.max_pairs + 1).toArrow()
         return head.combine_chunks() if head.num_rows <= self.max_pairs else None
 
 
-def lemmatise(df: DataFrame, tokens_col: str, lemmas: Lemmas, key: str) -> DataFrame:
+def lemmatise(df: DataFrame, tokens_col: str, lemmas: Lemmas) -> DataFrame:
     """Replace each token by its lemma, keeping the order; unknown words stay.
 
     A lemma table of checked size goes to the workers and no row moves.  A larger
-    one is joined token by token and the lists are put together again by ``key``.
+    one is joined token by token.  Rows are treated each by itself in either case.
     """
     pairs = lemmas.pairs
     if pairs is None:
-        return _lemmatise_by_join(df, tokens_col, lemmas.table, key)
+        return _lemmatise_by_join(df, tokens_col, lemmas.table)
     if pairs.num_rows == 0:
         return df
     swap = _swap_words(pairs["word"].combine_chunks(), pairs["lemma"].combine_chunks())
     return df.withColumn(tokens_col, swap(tokens_col))
 
 
-def _lemmatise_by_join(df: DataFrame, tokens_col: str, lemmas: DataFrame, key: str) -> DataFrame:
-    places = df.select(key, F.posexplode(tokens_col).alias("place", "word"))
-    joined = join_by_frequency(places, lemmas, "word", "n_docs")
-    lists = joined.groupBy(key).agg(
+def _lemmatise_by_join(df: DataFrame, tokens_col: str, lemmas: DataFrame) -> DataFrame:
+    # numbered and written down: a row keeps its number however often it is read
+    rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "lemma-rows")
+    one_each = lemmas.groupBy("word").agg(
+        F.min("lemma").alias("lemma"), F.max("n_docs").alias("n_docs")
+    )
+    places = rows.select("_row", F.posexplode(tokens_col).alias("place", "word"))
+    joined = join_by_frequency(places, one_each, "word", "n_docs")
+    lists = joined.groupBy("_row").agg(
         F.array_sort(
             F.collect_list(F.struct("place", F.coalesce("lemma", "word").alias("term")))
         )["term"].alias(tokens_col)
     )
     empty = F.array().cast("array<string>")
-    return (
-        df.drop(tokens_col)
-        .join(lists, key, "left")
-        .withColumn(tokens_col, F.coalesce(tokens_col, empty))
-    )
+    whole = rows.drop(tokens_col).join(lists, "_row", "left").drop("_row")
+    return whole.withColumn(tokens_col, F.coalesce(tokens_col, empty)).select(*df.columns)
 
 
-def clean(
-    df: DataFrame, text_col: str, lemmas: Lemmas | None = None, key: str = "doc_id"
-) -> DataFrame:
+def clean(df: DataFrame, text_col: str, lemmas: Lemmas | None = None) -> DataFrame:
     """Add ``tokens`` and the space-joined ``cleaned`` text to every row."""
     tokenised = df.withColumn("tokens", content_words(F.col(text_col)))
     if lemmas is not None:
-        tokenised = lemmatise(tokenised, "tokens", lemmas, key)
+        tokenised = lemmatise(tokenised, "tokens", lemmas)
     return tokenised.withColumn("cleaned", joined_tokens(F.col("tokens")))
 
 

@@ -99,7 +99,7 @@ def embed_cleaned_queries(
     queries: DataFrame, encoder: Encoder, lemmas: Lemmas | None
 ) -> DataFrame:
     """Vectors of the cleaned queries; one that is blank after cleaning gets no row."""
-    cleaned = clean(queries.select("query_id", "query"), "query", lemmas, key="query_id")
+    cleaned = clean(queries.select("query_id", "query"), "query", lemmas)
     asked = cleaned.filter(F.col("cleaned") != "").select("query_id", "cleaned")
     return encoder.encode(asked, "cleaned", "query_vector").drop("cleaned")
 
@@ -111,7 +111,7 @@ def process_queries(
 
     An empty query has an empty cleaned text and an empty vector.
     """
-    cleaned = clean(queries.select("query_id", "query"), "query", lemmas, key="query_id")
+    cleaned = clean(queries.select("query_id", "query"), "query", lemmas)
     vector = encoder.encode(cleaned, "query", "_vector")
     no_vector = F.array().cast("array<float>")
     return vector.select(

@@ -57,7 +57,7 @@ def join_by_frequency(
     ).first()
     all_fit = keys <= max_keys and key_bytes <= max_keys * KEY_BYTES
     at_least = 0 if all_fit else math.ceil(total / max_keys) + 1
-    is_frequent = F.col(frequency) >= at_least
+    is_frequent = F.coalesce(F.col(frequency), F.lit(0)) >= at_least  # unknown counts as rare
     frequent = words.filter(is_frequent).withColumn("_frequent", F.lit(True))
     rare = words.filter(~is_frequent)
     joined = facts.join(F.broadcast(frequent), key, "left")
@@ -102,8 +102,10 @@ def _salted_join(rows: DataFrame, table: DataFrame, key: str, how: str) -> DataF
     hot = counts.filter(F.col("count") >= hot_from).select(key, F.lit(SALTS).alias("_copies"))
     hot = F.broadcast(hot)
     others = [c for c in rows.columns if c != key]
+    # rows that consist of their key are all alike and cannot be told apart by a salt
+    salt = F.pmod(F.xxhash64(*others), F.col("_copies")) if others else F.lit(0)
     salted_rows = rows.join(hot, key, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*others), F.col("_copies")), F.lit(0)).cast("int")
+        "_salt", F.coalesce(salt, F.lit(0)).cast("int")
     )
     salted_table = table.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))

@@ -150,7 +150,7 @@ def tfidf_candidates(
         raise ValueError("candidate_k must not be negative")
     k = min(top_n, candidate_k) if candidate_k else top_n
     n_queries, n_terms = measure(queries, F.size(content_words(F.col("query"))))
-    cleaned = clean(queries.select("query_id", "query"), "query", lemmas, key="query_id")
+    cleaned = clean(queries.select("query_id", "query"), "query", lemmas)
     return search_top_k(
         query_vectors(cleaned, stats, weighting, n_terms),
         vectors,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property, partial, reduce
+from functools import cached_property, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -68,12 +68,13 @@ class _Dataset:
 
     def __init__(self, engine: Engine, requests: DataFrame, methods: list[str]):
         self.engine = engine
-        self.requests = requests.withColumnRenamed("request_id", "query_id")
+        self.requests = requests
         self.methods = methods
 
     def queries(self, *methods: str) -> DataFrame:
+        """Every different query once, however many requests ask it."""
         mine = self.requests.filter(F.col("method").isin(list(methods)))
-        return mine.select("query_id", "query", "instruction_key")
+        return mine.select("query_id", "query", "instruction_key").distinct()
 
     @cached_property
     def hybrid(self) -> tuple[DataFrame, int | None]:
@@ -116,13 +117,20 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
     Requests are split by dataset and method, and each method runs once for all
     its queries.  Search methods give one row per hit, prompt methods one row per
     request; a result row repeats the query, dataset and method it answers.
+    Requests are independent: searches know queries by their content, not by request
+    ids, which may repeat.  Results have the columns of ``result_schema`` whatever
+    methods are asked for.
     """
     checked = validate(requests, list(engines))
     good = checked.filter(F.col("error").isNull()).drop("error")
+    content = F.concat_ws("\n", F.col("instruction_key"), F.col("query"))
+    good = good.withColumn("query_id", F.sha2(content, 256))
     rejects = checked.filter(F.col("error").isNotNull())
     # One row per dataset and method at most, however many requests there are.
     present = sorted(map(tuple, good.select("dataset", "method").distinct().collect()))
     id_types = {e.corpus.schema["doc_id"].dataType for e in engines.values()}
+    id_type = id_types.pop() if len(id_types) == 1 else T.StringType()
+    schema = result_schema(requests.schema["request_id"].dataType, id_type)
     parts = []
     for dataset in sorted({d for d, _ in present}):
         methods = [m for d, m in present if d == dataset]
@@ -130,29 +138,40 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
         work = _Dataset(engines[dataset], mine, methods)
         for method in methods:
             answer = work.answer(method)
-            if len(id_types) > 1:
-                answer = _with_string_ids(answer)
             echo = mine.filter(F.col("method") == method)
-            echo = echo.select("request_id", "query", "dataset", "method")
-            parts.append(echo.join(answer.withColumnRenamed("query_id", "request_id"), "request_id"))
+            echo = echo.select("request_id", "query", "dataset", "method", "query_id")
+            parts.append(_in_schema(echo.join(answer, "query_id"), schema))
     if not parts:
-        return Answers(good.drop("instruction_key").limit(0), rejects)
-    return Answers(reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts), rejects)
-
-
-def _with_string_ids(answer: DataFrame) -> DataFrame:
-    """Ids as strings, where datasets of different id types share one result."""
-    if "doc_id" in answer.columns:
-        return answer.withColumn("doc_id", F.col("doc_id").cast("string"))
-    entry = T.StructType(
-        [
-            T.StructField("doc_id", T.StringType()),
-            T.StructField("text", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-        ]
+        return Answers(requests.sparkSession.createDataFrame([], schema), rejects)
+    return Answers(reduce(DataFrame.unionByName, parts), rejects)
+
+
+def result_schema(request_type: T.DataType, id_type: T.DataType) -> T.StructType:
+    """Columns of results; ids are strings where datasets of different id types meet."""
+    context = T.StructType().add("doc_id", id_type).add("text", T.StringType()).add("score", T.DoubleType())
+    return (
+        T.StructType()
+        .add("request_id", request_type)
+        .add("query", T.StringType())
+        .add("dataset", T.StringType())
+        .add("method", T.StringType())
+        .add("rank", T.IntegerType())
+        .add("doc_id", id_type)
+        .add("score", T.DoubleType())
+        .add("snippet", T.StringType())
+        .add("prompt", T.StringType())
+        .add("response", T.StringType())
+        .add("retrieved_context", T.ArrayType(context))
     )
-    return answer.withColumn(
-        "retrieved_context", F.col("retrieved_context").cast(T.ArrayType(entry))
+
+
+def _in_schema(answer: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns, null where a method does not give them."""
+    return answer.select(
+        *[
+            (F.col(f.name) if f.name in answer.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
     )
 
 
@@ -164,9 +183,14 @@ def get_documents(requests: DataFrame, corpora: dict[str, DataFrame]) -> DataFra
     max_rows = rows_if_few(requests)
     known = requests.filter(~missing)
     answered = known.filter(~F.col("dataset").isin(list(corpora))).select("*", no_content)
-    for dataset, corpus in corpora.items():
-        contents = corpus.select("doc_id", F.col("text").alias("content"))
-        part = look_up(known.filter(F.col("dataset") == dataset), contents, "doc_id", max_rows)
+    asked = known.filter(F.col("dataset").isin(list(corpora))).select("dataset").distinct()
+    for dataset in sorted(r["dataset"] for r in asked.collect()):  # at most all corpora
+        corpus = corpora[dataset]
+        contents = corpus.select(F.col("doc_id").alias("_id"), F.col("text").alias("content"))
+        # an id that its corpus cannot have finds nothing, and fails no other request
+        own = F.col("doc_id").cast("string").try_cast(corpus.schema["doc_id"].dataType)
+        part = known.filter(F.col("dataset") == dataset).withColumn("_id", own)
+        part = look_up(part, contents, "_id", max_rows).drop("_id")
         answered = answered.unionByName(part)
     not_found = F.when(F.col("content").isNull(), F.lit(DOCUMENT_NOT_FOUND))
     bad = requests.filter(missing).select("*", no_content)

@@ -153,7 +153,7 @@ def tfidf_weights(w):
 
 @registered
 def tfidf_query_weights(w):
-    cleaned = clean(w.queries, "query", w.lemmas, key="query_id")
+    cleaned = clean(w.queries, "query", w.lemmas)
     entry = F.explode(F.arrays_zip("query_terms", "query_weights")).alias("e")
     return (
         query_vectors(cleaned, w.term_stats)

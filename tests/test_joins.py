@@ -57,3 +57,13 @@ def test_hot_key_is_spread_over_several_partitions(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_look_up_of_key_columns_only(spark):
+    from gleanery.operators.joins import look_up
+
+    rows = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    table = spark.createDataFrame([(1, "a"), (3, "b")], "k long, v string")
+    for bound in (10, None):
+        got = sorted(look_up(rows, table, "k", bound).collect(), key=str)
+        assert [r["v"] for r in got] == ["a", "a", None, None]

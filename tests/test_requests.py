@@ -144,3 +144,35 @@ def test_stream_equals_batch_and_answers_each_request_once(spark, engines, tmp_p
     as_rows = lambda df: sorted(map(str, df.collect()))
     assert as_rows(got) == as_rows(want)
     assert [r["request_id"] for r in spark.read.parquet(f"{out}/rejects").collect()] == [2]
+
+
+def test_requests_of_equal_ids_are_independent(spark, engines):
+    rows = [(1, "red wine", "number", "hybrid", None), (1, "blue cheese", "number", "rag_with_basics", None),
+            (1, "green apples", "number", "rag_with_basics", None), (2, "red wine", "number", "hybrid", None)]
+    got = run_requests(requests(spark, *rows), {"number": engines["number"]}).results.collect()
+    best = {(r["request_id"], r["query"]): r["doc_id"] for r in got if r["rank"] == 1}
+    assert best == {(1, "red wine"): 0, (2, "red wine"): 0}
+    context = {r["query"]: r["retrieved_context"][0]["doc_id"] for r in got if r["method"] == "rag_with_basics"}
+    assert context == {"blue cheese": 3, "green apples": 1}
+
+
+def test_one_schema_whatever_the_methods(spark, engines):
+    engine = {"number": engines["number"]}
+    schemas = [
+        run_requests(requests(spark, (1, "wine", "number", m, None)), engine).results.schema.simpleString()
+        for m in ("tfidf", "rag_with_faiss", "no method")
+    ]
+    assert len(set(schemas)) == 1
+
+
+def test_malformed_document_ids_fail_alone(spark):
+    corpora = {
+        "number": spark.createDataFrame([(0, "zero")], "doc_id LONG, text STRING"),
+        "string": spark.createDataFrame([("abc", "letters")], "doc_id STRING, text STRING"),
+    }
+    asked = spark.createDataFrame(
+        [(1, "abc", "number"), (2, "abc", "string"), (3, "0", "number")],
+        "request_id LONG, doc_id STRING, dataset STRING",
+    )
+    got = {r["request_id"]: (r["doc_id"], r["content"]) for r in get_documents(asked, corpora).collect()}
+    assert got == {1: ("abc", None), 2: ("abc", "letters"), 3: ("0", "zero")}

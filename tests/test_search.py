@@ -224,7 +224,7 @@ def test_sparse_fragments(spark, corpus, model):
     asked = queries_of(spark, *QUERIES)
     from gleanery.operators.cleaning import clean
 
-    prepared = query_vectors(clean(asked, "query", lemmas, key="query_id"), stats)
+    prepared = query_vectors(clean(asked, "query", lemmas), stats)
 
     def rows(**bounds):
         df, _ = search_top_k(

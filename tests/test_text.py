@@ -126,3 +126,17 @@ def test_vector_columns(spark):
     assert rows[0]["u"] == [0.6000000238418579, 0.800000011920929]
     assert rows[1]["u"] == [0.0, 0.0]
     assert [str(r["score"]) for r in rows] == ["1.0", "0.0", "0.0"]
+
+
+def test_both_lemma_paths_treat_rows_by_themselves(spark):
+    rows = [(1, "red cars"), (1, "blue cars"), (None, "cars bikes"), (None, "cars"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = spark.createDataFrame(
+        [("cars", "car", None), ("cars", "caro", 3), ("bikes", "bike", None)],
+        "word string, lemma string, n_docs long",
+    )
+    got = [
+        sorted(r["cleaned"] for r in clean(docs, "text", Lemmas(pairs, max_pairs=n)).collect())
+        for n in (10, 0)
+    ]
+    assert got[0] == got[1] == ["", "blue car", "car", "car bike", "red car"]
