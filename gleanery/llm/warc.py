@@ -28,6 +28,8 @@ HTTP = "application/http; msgtype=response"
 UNCHANGED = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 #: Bytes of a file whose candidates one task chains.
 SPAN = 1 << 26
+#: Repeated payloads, some 80 bytes each, that are broadcast at most; beyond, they are joined.
+BROADCAST_PAYLOADS = 250_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -60,8 +62,11 @@ def write_archive(
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(html, F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": base32_sha1(F.col("html")), "n": F.octet_length("html")})
-    kept = rows.groupBy("digest", "n").agg(F.max("key").alias("first"))
-    rows = rows.join(kept, ["digest", "n"], "left")
+    kept = rows.groupBy("digest", "n").agg(F.max("key").alias("first"), F.count("*").alias("copies"))
+    kept = materialise(kept.filter("copies > 1").drop("copies"), "repeated")
+    # only repeated payloads are looked up; few of them spare the payloads a shuffle
+    few = kept.count() <= BROADCAST_PAYLOADS
+    rows = rows.join(F.broadcast(kept) if few else kept, ["digest", "n"], "left")
     revisit = (F.col("n") >= min_bytes) & F.col("first").isNotNull() & ~F.col("key").eqNullSafe(F.col("first"))
 
     def name(c):
@@ -150,7 +155,7 @@ def _parsed(pieces: DataFrame) -> DataFrame:
         F.substring(F.col("block"), http + 1, F.octet_length("block")),
     ).otherwise(F.col("block"))
     return out.withColumn("payload", payload).select(
-        *[c for c in pieces.columns if c not in ("value", "size")],
+        *[c for c in pieces.columns if c != "value"],
         "stated",
         "whole",
         field("WARC-Type").alias("type"),
@@ -260,8 +265,9 @@ def read_archive(
     are those of the response it refers to.  ``intact`` tells whether a response has the
     digest that its header states.
     """
-    parsed = _parsed(_placed(_segments(spark, path)))
-    candidates = materialise(parsed if with_payload else parsed.drop("payload"), "candidates")
+    parsed = _parsed(_segments(spark, path))  # before any shuffle, so that no payload is moved
+    placed = _placed(parsed if with_payload else parsed.drop("payload")).drop("size")
+    candidates = materialise(placed, "candidates")
     stated = candidates.filter(F.col("stated").isNotNull())
     nodes = stated.select("file", "offset", (F.col("offset") + len(MAGIC) + F.col("stated")).alias("next"))
     found = materialise(reachable(nodes, span), "reached")
