@@ -119,23 +119,25 @@ def full_sets(docs: DataFrame, text: str, shingle: int) -> DataFrame:
     return docs.select(text).mapInArrow(run, "sig binary, members array<long>")
 
 
-def _sharing(heads: DataFrame, percent: int) -> DataFrame:
+def _sharing(scratch: Scratch, heads: DataFrame, percent: int) -> DataFrame:
     """``(rid, sig, n)`` of the rows whose head shares enough with other heads."""
     rows = heads.select(F.explode("head").alias("h"), "rid")
     counts = rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select("h")
+    # written down, so that both sides of the join are shuffled and a hot shingle can be split
+    counts = scratch.write(counts, "counts")
     shared = rows.join(counts, "h").groupBy("rid").agg(F.count("*").alias("shared"))
     least = F.floor((F.floor((F.col("n") * percent + 99) / 100) + 9) / 10)
     return heads.select("rid", "sig", "n").join(shared, "rid").filter(F.col("shared") >= least).drop("shared")
 
 
-def _with_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+def _with_prefixes(scratch: Scratch, sets: DataFrame, percent: int) -> DataFrame:
     """``(node, n, r, prefix)`` of the nodes whose prefix holds a shingle of another node.
 
     ``r`` of the n shingles occur in another set.  The others come first in the order and
     use up the prefix without a posting.
     """
     rows = sets.select(F.explode("members").alias("h"), "node", F.size("members").cast("long").alias("n"))
-    counts = rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    counts = scratch.write(rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "counts")
     shared = rows.join(counts, "h").groupBy("node").agg(
         F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared")
     )
@@ -178,13 +180,13 @@ def jaccard_components(
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``."""
     scratch = Scratch(docs.sparkSession, "similar")
     heads = scratch.write(shingle_heads(docs, key, text, shingle, percent), "heads")
-    nodes = _sharing(heads, percent).groupBy("sig").agg(F.min("rid").alias("node"))
+    nodes = _sharing(scratch, heads, percent).groupBy("sig").agg(F.min("rid").alias("node"))
     nodes = scratch.write(nodes, "nodes")
     rows = scratch.write(heads.drop("head"), "rows")
     scratch.release(heads)
 
     sets = scratch.write(_member_sets(docs, rows, nodes, key, text, shingle), "sets")
-    members = _with_prefixes(sets, percent)
+    members = _with_prefixes(scratch, sets, percent)
     same = [F.xxhash64("n", "prefix").alias("p"), F.xxhash64("prefix", "n").alias("q")]
     members = scratch.write(members.select("*", *same, (1000 * (F.col("n") - F.col("r")) / F.col("n")).cast("int").alias("alone")), "members")
     scratch.release()

@@ -34,6 +34,8 @@ from gleanery.llm.words import Words, parts, runs
 
 #: Windows that a block of the reference holds on average.
 BLOCK = 1 << 17
+#: Bytes of text whose windows are sent together.
+BATCH = 1 << 21
 SPANS = "array<struct<start: long, length: long>>"
 
 
@@ -109,7 +111,7 @@ def _messages(docs: DataFrame, window: int, seed: int, blocks: int) -> DataFrame
                 yield out.rows("done", len(rest), doc_id=ids.filter(some), text=rest, n_words=n)
             ids, texts, anchors = ids.filter(known), texts.filter(known), anchors.filter(known)
             done = 0
-            for part in parts(texts):
+            for part in parts(texts, BATCH):
                 mine = slice(done, done + len(part))
                 words, of, at, whole, row, seeds = _windows(part, window, seed)
                 wanted = np.unique(anchors[mine].flatten().to_numpy().view(np.uint64))
@@ -234,7 +236,9 @@ def remove_repeats(
     whole = F.coalesce(F.col(text), F.lit("")).alias("text")
     docs = docs.select(F.col(key).alias("doc_id"), whole).withColumn("k", F.xxhash64("doc_id", "text"))
     anchors = scratch.write(_anchors(docs, window, seed), "anchors")
+    # written down, so that both sides of the join are shuffled and a hot anchor can be split
     repeated = anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    repeated = scratch.write(repeated, "repeated")
     hits = anchors.join(repeated, "h").groupBy("k").agg(F.collect_set("h").alias("anchors"))
     hits = scratch.write(hits, "hits")
     scratch.release(anchors)
