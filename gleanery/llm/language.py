@@ -35,7 +35,7 @@ FAMILIES = {
     "malayic": "id ms jv su",
 }
 ORDERS = (1, 2, 3)
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 
 
 @dataclass(frozen=True)

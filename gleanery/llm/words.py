@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are turned into arrays at a time (a longer text comes alone).
-PART = 1 << 21
+#: Bytes of text that are turned into arrays at a time (a longer text comes alone); the
+#: arrays take some forty times as much.
+PART = 1 << 19
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -49,13 +50,13 @@ def runs(words: np.ndarray, length: int) -> np.ndarray:
     return mix(_sums(words, starts, starts + length) + np.uint64(length))
 
 
-def parts(texts: pa.Array) -> Iterator[pa.Array]:
-    """Slices of the array of about ``PART`` bytes."""
+def parts(texts: pa.Array, size: int = PART) -> Iterator[pa.Array]:
+    """Slices of the array of about ``size`` bytes."""
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     first = 0
     while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PART, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         yield texts.slice(first, last - first)
         first = last
 
