@@ -32,18 +32,24 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one of the smallest ``doc_id``."""
-    classes = similar.jaccard_components(docs.select("doc_id", "text"))
-    kept = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    # rows that repeat a doc_id stand for one document: one row of them stays
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Of each group of similar rows the one of the smallest ``doc_id``, nulls last.
+
+    Rows are documents of their own, also where they share a ``doc_id`` or have none.
+    """
+    keyed = _keyed(spark, docs, "similar-rows")
+    classes = similar.jaccard_components(keyed.select("_row", "text"), "_row")
+    classes = classes.select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    least = classes.join(keyed.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("least"))
+    return keyed.join(least.select("least._row"), "_row", "left_semi").select(docs.columns)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated passages; those with no words left go."""
-    parsed = substrings.remove_repeats(docs.select("doc_id", "text"), with_text=True)
-    kept = parsed.filter("n_removed < n_words").select("doc_id", F.col("kept").alias("_kept"))
-    rest = docs.drop("text", "n_chars").join(kept, "doc_id")
+    keyed = _keyed(spark, docs, "substrings-rows")
+    parsed = substrings.remove_repeats(keyed.select("_row", "text"), "_row", with_text=True)
+    kept = parsed.filter("n_removed < n_words").select(F.col("doc_id").alias("_row"), F.col("kept").alias("_kept"))
+    rest = keyed.drop("text", "n_chars").join(kept, "_row")
     return _with_text(docs, rest, "_kept")
 
 
@@ -54,6 +60,11 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, definition, public_tokenizers.PATTERN)
 
 
+def _keyed(spark: SparkSession, docs: DataFrame, label: str) -> DataFrame:
+    """Rows with a key ``_row`` of their own, written down so that every look finds the same."""
+    return Scratch(spark, label).write(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def _with_text(docs: DataFrame, rows: DataFrame, text: str) -> DataFrame:
     """The columns of documents, with another text and its length."""
     new = {"text": F.col(text), "n_chars": F.char_length(text).cast("long")}

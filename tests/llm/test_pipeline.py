@@ -58,6 +58,31 @@ def test_stages_take_empty_tables_and_edge_rows(spark):
         assert docs.count() == 0
 
 
+def prose(seed, n=60):
+    return " ".join(f"w{seed}x{i}" for i in range(n))
+
+
+def test_null_and_repeated_ids_lose_no_text(spark):
+    near = prose(1)[: prose(1).rindex(" ")]
+    rows = [(None, prose(5), "a"), (None, prose(6), "b"), (None, prose(6), "c"), (2, near, "d"), (1, prose(1), "e"),
+            (2, prose(2), "f"), (2, prose(3), "g"), (None, prose(2), "h"), (None, "", "i"), (None, None, "j")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], schema).repartition(3)
+    got = corpus_pipeline.join_similar(spark, docs, FOLDER).collect()
+    assert {r.source for r in got} - {"b", "c"} == {"a", "e", "f", "g", "i", "j"}
+    assert sum(r.source in "bc" for r in got) == 1 and len(got) == 7
+
+
+def test_repeats_of_rows_without_own_ids(spark):
+    rows = [(i, prose(s, 50) + " " + prose(9, 40), str(s)) for s, i in enumerate([None, None, 7, 7, 7])]
+    rows.append((7, prose(9, 40), "only repeats"))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], schema)
+    got = corpus_pipeline.remove_repeats(spark, docs, FOLDER).collect()
+    want = sorted((str(i), s, prose(int(s), 50)) for i, _, s in rows[:5])
+    assert sorted((str(r.doc_id), r.source, r.text.strip()) for r in got) == want
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 1), (9, 8), (8, 7), (7, 6), (6, 5), (20, 20), (5, 30), (30, 40)]
     df = spark.createDataFrame(links, "a long, b long")
