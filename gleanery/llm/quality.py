@@ -30,6 +30,11 @@ class LineRules:
     A line fails when it is boilerplate, has no letter, is a fragment below
     ``fragment_words`` words without closing punctuation, is a row of ``|`` entries,
     consists of symbols or of shouted words, or repeats few words over and over.
+
+    The share of distinct words falls as any text grows, so a line of more than
+    ``block_words`` words that is below ``distinct_share`` fails only if its blocks of so
+    many words are below it too, taken together, or if ``rerun_share`` of its runs of
+    ``run_words`` words occurred in it before.
     """
 
     fragment_words: int = 3
@@ -38,6 +43,9 @@ class LineRules:
     shout_share: int = 30
     long_line_words: int = 20
     distinct_share: int = 40
+    block_words: int = 500
+    run_words: int = 8
+    rerun_share: int = 15
     max_lost_share: int = 40
 
 
@@ -72,10 +80,23 @@ def _fails(x: Column, rules: LineRules) -> Column:
         | (
             (n >= rules.long_line_words)
             & (F.size(F.array_distinct(x["own"])) * 100 < n * rules.distinct_share)
+            & ((n <= rules.block_words) | _repeats(x["own"], n, rules))
         )
     )
 
 
+def _repeats(own: Column, n: Column, rules: LineRules) -> Column:
+    """Whether a long line repeats words within its blocks, or runs of words anywhere."""
+    size, run = rules.block_words, rules.run_words
+    starts = F.sequence(F.lit(1), n, F.lit(size))
+    distinct = F.aggregate(
+        starts, F.lit(0), lambda a, i: a + F.size(F.array_distinct(F.slice(own, i, size)))
+    )
+    runs = F.transform(F.sequence(F.lit(1), n - run + 1), lambda i: F.xxhash64(F.slice(own, i, run)))
+    again = n - run + 1 - F.size(F.array_distinct(runs))
+    return (distinct * 100 < n * rules.distinct_share) | (again * 100 >= (n - run + 1) * rules.rerun_share)
+
+
 def _repeated(all_words: Column, window: int) -> list[tuple[str, Column]]:
     """Steps that count the words in windows of ``window`` words found twice or more.
 

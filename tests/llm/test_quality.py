@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -50,6 +51,20 @@ def test_verdicts(judged):
     assert len(judged) == len(CASES)  # repeated rows stay, the clashing column is replaced
 
 
+def test_long_clean_line_stays_and_long_repeating_lines_go(spark):
+    draw = random.Random(1)
+    weights = [1 / (i + 10) for i in range(9000)]
+    prose = draw.choices([f"word{i}" for i in range(9000)], weights, k=40000)
+    few = draw.choices([f"word{i}" for i in range(60)], k=3000)
+    passage = prose[:700]
+    assert len(set(prose)) < 0.4 * len(prose)
+    rows = [(1, " ".join(prose)), (2, "\n".join(" ".join(prose[i : i + 50]) for i in range(0, len(prose), 50))),
+            (3, "\n".join([" ".join(prose[:20000]), " ".join(few)])), (4, "\n".join([" ".join(prose), " ".join(passage * 5)]))]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].kept and got[2].kept and got[1].lost_words == 0 and got[1].cleaned == rows[0][1]
+    assert got[3].lost_words == 3000 and got[4].lost_words == 3500
+
+
 def test_empty_table_and_filter_on_the_verdict(spark):
     rows = quality.judge(spark.createDataFrame([], SCHEMA))
     assert rows.filter("kept").count() == 0 and "cleaned" in rows.columns
