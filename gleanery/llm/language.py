@@ -40,9 +40,15 @@ WINDOW = 1 << 18
 
 @dataclass(frozen=True)
 class Training:
-    """``max_rows`` bounds the labelled rows of the sample, shared evenly by languages."""
+    """``max_rows`` bounds the labelled rows of the sample, shared evenly by languages.
+
+    Every language has ``min_rows`` of them, as far as it has so many, so that the bound
+    grows with the languages.  More than ``max_labels`` labels are an error.
+    """
 
     max_rows: int = 800
+    min_rows: int = 20
+    max_labels: int = 200
     buckets: int = 2048
     penalty: float = 1e-4
     steps: int = 200
@@ -199,7 +205,7 @@ def decide(m: np.ndarray, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]
 def learn(
     docs: DataFrame, key: str, text: str, label: str, learnable: Column, training: Training = Training()
 ) -> LanguageModel:
-    """Fits on at most ``max_rows`` of the learnable labelled rows, the same ones each time.
+    """Fits on a bounded sample of the learnable labelled rows, the same ones each time.
 
     Per language the rows of the smallest key hashes are taken.  Whole texts are counted
     on the executors; only bounded share vectors reach the driver.
@@ -207,11 +213,14 @@ def learn(
     rows = docs.select(key, text, F.col(label).alias("_label")).filter(
         learnable & F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")
     )
+    # one label too many is enough to tell that there are too many
     counts = {r["_label"]: r["n"] for r in rows.groupBy("_label").agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), "_label").limit(max(1, training.max_rows // 20)).collect()}
+        F.desc("n"), "_label").limit(training.max_labels + 1).collect()}
     if not counts:
         return fit(np.zeros((0, training.buckets), np.float32), [], training)
-    each = max(1, training.max_rows // len(counts))
+    if len(counts) > training.max_labels:
+        raise ValueError(f"more than {training.max_labels} labels in {label!r}; see Training.max_labels")
+    each = max(1, training.min_rows, training.max_rows // len(counts))
     draw = F.pmod(F.xxhash64(key), F.lit(1 << 20))
     chance = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 2 * (each + 20) / n))])
     drawn = rows.filter(draw < F.try_element_at(chance, F.col("_label")) * (1 << 20))

@@ -1,4 +1,5 @@
 import os
+import random
 
 import pyarrow as pa
 import pytest
@@ -41,3 +42,17 @@ def test_margins_do_not_depend_on_windows(monkeypatch):
     whole = language.shares(texts, 256)
     monkeypatch.setattr(language, "WINDOW", 37)
     assert abs(whole - language.shares(texts, 256)).max() < 1e-6
+
+
+def test_many_labels_are_all_learnt(spark):
+    draw = random.Random(2)
+    rows = []
+    for i in range(45):
+        words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(8)]
+        rows += [(len(rows) + j, " ".join(draw.choices(words, k=60)), f"q{i:02}") for j in range(7 if i < 40 else 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs, "doc_id", "text", "lang", F.lit(True))
+    assert len(model.languages) == 45
+    assert language.identify(docs, model).filter("lang_pred != lang").count() == 0
+    with pytest.raises(ValueError, match="labels"):
+        language.learn(docs, "doc_id", "text", "lang", F.lit(True), language.Training(max_labels=44))
