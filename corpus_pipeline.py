@@ -13,16 +13,12 @@ from pyspark.sql import functions as F
 from gleanery.llm import language, packing, quality, similar, substrings
 from gleanery.llm.tables import Scratch
 
-#: A prediction below this score is no language.
-MIN_SCORE = 0.5
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; ``lang`` stays as given, it is only learnt from."""
+    """Documents typical of a learnt language; ``lang`` stays as given, it is only learnt from."""
     model = language.learn(docs, "doc_id", "text", "lang", language.third("doc_id") != 1)
-    found = language.identify(docs, model)
-    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MIN_SCORE)
-    return found.filter(known).select(docs.columns)
+    found = language.identify(docs, model, typical=True)
+    return found.filter((F.col("lang_pred") != language.UNDETERMINED) & F.col("typical")).select(docs.columns)
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

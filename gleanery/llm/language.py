@@ -5,6 +5,10 @@ Features are hashed byte n-grams of the lower-cased whole text, as shares of all
 Training uses a bounded sample of labelled rows; prediction reads every text in windows,
 so that memory does not grow with a text.
 
+Planes part the learnt languages only, however unlike all of them a text is.  Whether it
+is typical is told by itself: the mean logarithm of its n-grams' shares in the language
+found, which does not fall with length, against that of the labelled rows.
+
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is
 every text when there is nothing to learn from.  Rows without a key or label are never
 learnt from.  Repeated rows are predicted alike.  Columns named like a result are replaced.
@@ -12,7 +16,7 @@ learnt from.  Repeated rows are predicted alike.  Columns named like a result ar
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations
 
 import numpy as np
@@ -36,6 +40,8 @@ FAMILIES = {
 }
 ORDERS = (1, 2, 3)
 WINDOW = 1 << 18
+#: Share of an n-gram that the labelled rows of a language do not have.
+RARE = 1e-5
 
 
 @dataclass(frozen=True)
@@ -53,6 +59,10 @@ class Training:
     penalty: float = 1e-4
     steps: int = 200
     slope: float = 3.0
+    #: A text is typical down to ``reach`` times the distance from the median of the rows
+    #: that are labelled right to their quantile ``lowest``.
+    lowest: float = 0.01
+    reach: float = 4.0
 
 
 @dataclass(frozen=True)
@@ -64,6 +74,8 @@ class LanguageModel:
     weights: np.ndarray  # buckets x (families + pairs)
     bias: np.ndarray
     slope: float
+    usual: np.ndarray  # buckets x languages: logarithms of n-gram shares
+    least: np.ndarray  # by language: the mean of these that a typical text has
 
 
 def _plain() -> np.ndarray:
@@ -154,7 +166,8 @@ def fit(x: np.ndarray, labels: list[str], training: Training = Training()) -> La
     family_of = [families.index(n) for n in names]
     pairs = [(a, b) for a, b in combinations(range(len(languages)), 2) if family_of[a] == family_of[b]]
     if not languages:
-        return LanguageModel([], [], [], 0, np.zeros((training.buckets, 0)), np.zeros(0), training.slope)
+        none = np.zeros((training.buckets, 0))
+        return LanguageModel([], [], [], 0, none, np.zeros(0), training.slope, none, np.zeros(0))
     y = np.array([languages.index(c) for c in labels], dtype=int)
     of = np.array(family_of, dtype=int)[y]
     centre, scale = x.mean(axis=0), x.std() * np.sqrt(x.shape[1]) + 1e-12
@@ -174,7 +187,19 @@ def fit(x: np.ndarray, labels: list[str], training: Training = Training()) -> La
         rows = np.flatnonzero((y == a) | (y == b))
         planes.append(plane(rows, np.where(y[rows] == a, 1, -1)))
     weights, bias = np.array([w for w, _ in planes]).T, np.array([b for _, b in planes])
-    return LanguageModel(languages, family_of, pairs, len(families), weights, bias, training.slope)
+    usual, least = np.zeros((x.shape[1], len(languages))), np.full(len(languages), -np.inf)
+    model = LanguageModel(languages, family_of, pairs, len(families), weights, bias, training.slope, usual, least)
+    right = decide(x @ weights + bias, model)[0] == y
+    for k in range(len(languages)):
+        of_k = x[y == k].astype(np.float64)
+        whole, n = of_k.sum(axis=0), len(of_k)
+        usual[:, k] = np.log(whole / n + RARE)
+        if n > 1 and right[y == k].any():
+            # each row against the other ones
+            found = (of_k * np.log((whole - of_k).clip(0) / (n - 1) + RARE)).sum(axis=1)[right[y == k]]
+            middle = np.median(found)
+            least[k] = middle - training.reach * (middle - np.quantile(found, training.lowest))
+    return model
 
 
 def decide(m: np.ndarray, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
@@ -241,25 +266,40 @@ def learn(
     return fit(x, got["label"].to_pylist(), training)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score``, predicted from the text alone."""
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", typical: bool = False) -> DataFrame:
+    """Adds ``lang_pred`` and ``score``, predicted from the text alone.
+
+    If asked for, also ``typical``: whether the text is like those of its language at all.
+    """
+    if typical:
+        # ``decide`` does not look at the further columns
+        weights, bias = np.hstack([model.weights, model.usual]), np.r_[model.bias, np.zeros(len(model.languages))]
+        model = replace(model, weights=weights, bias=bias)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<language: string, score: double>")
+    @F.arrow_udf("struct<language: string, score: double, typical: boolean>")
     def predict(texts: pa.Array) -> pa.Array:
         known = shared.value
         if not known.languages:
-            names, sure = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            names, sure, like = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         else:
-            index, sure = decide(margins(texts, known), known)
+            m = margins(texts, known)
+            index, sure = decide(m, known)
+            like = np.ones(len(texts), bool)
+            if typical:
+                own = m[np.arange(len(texts)), m.shape[1] - len(known.languages) + index]
+                like = own >= known.least[index]
             names = pa.array(known.languages, pa.string()).take(pa.array(index))
         return pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(np.round(sure, 6))], ["language", "score"]
+            [pa.array(names, pa.string()), pa.array(np.round(sure, 6)), pa.array(like)],
+            ["language", "score", "typical"],
         )
 
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    return docs.drop("lang_pred", "score").withColumn("_found", predict(F.col(text))).withColumns(
+    like = {"typical": letters & F.col("_found.typical")} if typical else {}
+    return docs.drop("lang_pred", "score", *like).withColumn("_found", predict(F.col(text))).withColumns(
         {
+            **like,
             "lang_pred": F.when(letters, F.col("_found.language")).otherwise(F.lit(UNDETERMINED)),
             "score": F.when(letters, F.col("_found.score")).otherwise(F.lit(0.0)),
         }

@@ -49,6 +49,21 @@ def test_stages(spark):
     assert {r.doc_id for r in packed.collect()} == set(kept)
 
 
+@needs_tables
+def test_texts_of_no_learnt_language_go_and_clean_ones_stay(spark):
+    docs = spark.read.parquet(FOLDER.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    odd = [
+        "zxqv kjwq pfft xkcd wqz vbnm hjkl qzx trwq plmk xxvz " * 5, "asdkjh qwlekj zmxncb poiqwe lkjasd mnzbxc",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+    ]
+    more = spark.createDataFrame([(-1 - i, t, None, "odd", len(t)) for i, t in enumerate(odd)], docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(more), FOLDER)
+    assert kept.filter("doc_id < 0").collect() == []
+    assert docs.filter(docs.text.rlike(r"\p{L}")).join(kept, "doc_id", "left_anti").select("text").collect() == []
+
+
 def test_stages_take_empty_tables_and_edge_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0)]
