@@ -123,7 +123,7 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
     """
     checked = validate(requests, list(engines))
     good = checked.filter(F.col("error").isNull()).drop("error")
-    content = F.concat_ws("\n", F.col("instruction_key"), F.col("query"))
+    content = F.to_json(F.struct("instruction_key", "query"), {"ignoreNullFields": "false"})
     good = good.withColumn("query_id", F.sha2(content, 256))
     rejects = checked.filter(F.col("error").isNotNull())
     # One row per dataset and method at most, however many requests there are.

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery.operators.encoders import HashEncoder
 from gleanery.plans.engine import Engine, build_chunks, build_embeddings, build_snippets, build_sparse
@@ -156,6 +157,15 @@ def test_requests_of_equal_ids_are_independent(spark, engines):
     assert context == {"blue cheese": 3, "green apples": 1}
 
 
+def test_instruction_keys_and_queries_do_not_run_together(spark, engines):
+    rows = [(1, "cheese", "number", "tfidf", "red\nwine"), (2, "wine\ncheese", "number", "tfidf", "red"),
+            (3, "wine\ncheese", "number", "tfidf", None), (4, "cheese", "number", "tfidf", "default\nwine")]
+    asked = requests(spark, *rows)
+    alone = {r[0]: run_requests(asked.filter(F.col("request_id") == r[0]), engines).results.collect() for r in rows}
+    got = run_requests(asked, engines).results.collect()
+    assert sorted(map(str, got)) == sorted(str(r) for some in alone.values() for r in some)
+
+
 def test_one_schema_whatever_the_methods(spark, engines):
     engine = {"number": engines["number"]}
     schemas = [
