@@ -1,16 +1,15 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against an index of all texts.
+"""Substring deduplication by counting the word windows of all texts.
 
 1. Every window of ``window`` words has an anchor: its run of ``seed`` words with the
    smallest hash.  Equal windows have equal anchors, so only windows whose anchor occurs
    twice or more can repeat; all other words are literals of the parse.
-2. The windows of these anchors make the reference, cut into blocks by hash.  A batch of
+2. The windows of these anchors are dealt to blocks by hash.  A batch of
    documents sends each block its different windows once, and a block answers which of
    them another batch has too.  Frequent windows are thus aggregated before the shuffle.
-3. Each document is factored greedily from left to right: a factor starts at the first
-   window that the reference holds at another place and grows word by word while the next
-   window is there too.  Where one factor ends, the windows that reach over its border
-   are looked up in the same way, so that a repeat is found however the factors fall.
-   Factors have at least ``window`` words and are the duplicate spans.
+3. Every window start that occurs twice or more, in its own batch or another one, is
+   marked.  Consecutive starts make one span, of at least ``window`` words.  No reference
+   position is kept and no factor extended as in a relative Lempel-Ziv parse: whether a
+   word goes depends on the windows over it only, so that there are no borders to look up.
 
 Windows are compared by a 64-bit hash; seeds only choose candidates.
 
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 from gleanery.llm.tables import Scratch
 from gleanery.llm.words import Words, parts, runs
 
-#: Windows that a block of the reference holds on average.
+#: Windows that a block holds on average.
 BLOCK = 1 << 17
 #: Bytes of text whose windows are sent together.
 BATCH = 1 << 21
@@ -154,7 +153,7 @@ def _shared_windows(key, table):
 
 
 def _factors(repeated: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Greedy factors ``(start, length)`` from the window starts that the reference holds."""
+    """Spans ``(start, length)``: consecutive window starts that occur twice make one."""
     if not len(repeated):
         return []
     breaks = np.flatnonzero(np.diff(repeated) > 1) + 1
