@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bytepairs, counting, fingerprints, language, packing, quality, similar, substrings, urlfilters, warc
+from gleanery.llm import (
+    bytepairs,
+    collocations,
+    counting,
+    fingerprints,
+    language,
+    lexical,
+    licenses,
+    packing,
+    quality,
+    similar,
+    substrings,
+    urlfilters,
+    warc,
+)
 
 QUERIES = {}
 SQL = {}
@@ -276,3 +290,91 @@ SELECT page_id, host, fetched_on, coalesce(n, 0)::BIGINT AS n_active, coalesce(l
        coalesce(matched, '') AS matched, n IS NOT NULL AS blocked
 FROM parsed LEFT JOIN found USING (page_id)
 """
+
+
+@registered
+def op11_license_scans(spark, folder):
+    return licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@registered
+def op12_phrase_collocations(spark, folder):
+    return collocations.mine(table(spark, folder, "documents").select("lang", "text"))
+
+
+SQL["op12_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS s FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS ws FROM pieces
+), one AS (
+  SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(ws) AS x FROM w) GROUP BY ALL
+), two AS (
+  SELECT lang, x, y, count(*) AS f FROM (
+    SELECT lang, ws[i] AS x, ws[i + 1] AS y FROM w, unnest(range(1, len(ws))) AS t(i)) GROUP BY ALL
+), three AS (
+  SELECT lang, x, y, z, count(*) AS f FROM (
+    SELECT lang, ws[i] AS x, ws[i + 1] AS y, ws[i + 2] AS z FROM w, unnest(range(1, len(ws) - 1)) AS t(i))
+  GROUP BY ALL HAVING count(*) >= 10
+), sizes AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang
+), pairs AS (
+  SELECT lang, two.x || ' ' || two.y AS phrase, two.f AS a, p.f AS l, q.f AS r,
+         1000000::HUGEINT * two.f * two.f // (p.f::HUGEINT * q.f) AS score, two.x AS x, two.y AS y
+  FROM two JOIN one p USING (lang) JOIN one q USING (lang) WHERE p.x = two.x AND q.x = two.y AND two.f >= 10
+), cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z AS phrase, t.f AS a,
+         1000000::HUGEINT * t.f * t.f // (p.f::HUGEINT * v.f) AS s1, p.f AS l1, v.f AS r1,
+         1000000::HUGEINT * t.f * t.f // (u.f::HUGEINT * q.f) AS s2, u.f AS l2, q.f AS r2
+  FROM three t JOIN one p ON p.lang = t.lang AND p.x = t.x JOIN one q ON q.lang = t.lang AND q.x = t.z
+  JOIN two u ON u.lang = t.lang AND u.x = t.x AND u.y = t.y
+  JOIN two v ON v.lang = t.lang AND v.x = t.y AND v.y = t.z
+), candidates AS (
+  SELECT lang, phrase, a, l, r, score FROM pairs WHERE NOT EXISTS (
+    SELECT 1 FROM three t WHERE t.lang = pairs.lang AND 100 * t.f >= 50 * pairs.a AND t.x = pairs.x AND t.y = pairs.y)
+  AND NOT EXISTS (
+    SELECT 1 FROM three t WHERE t.lang = pairs.lang AND 100 * t.f >= 50 * pairs.a AND t.y = pairs.x AND t.z = pairs.y)
+  UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)
+  FROM cuts
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM candidates
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+@registered
+def op13_lexical_search(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+SQL["op13_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+')) AS t FROM documents
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+')) AS t FROM benchmark
+), counts AS (
+  SELECT doc_id, t, count(*) AS tf FROM d GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY ALL
+), whole AS (
+  SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM lengths
+), w AS (
+  SELECT t, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, whole GROUP BY t, nn
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // ll))))::BIGINT AS score
+  FROM q JOIN counts USING (t) JOIN w USING (t) JOIN lengths USING (doc_id), whole GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
