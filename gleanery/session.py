@@ -1,12 +1,62 @@
-"""Session settings and the shared folder that cuts lineage."""
+"""Session settings, the shared folder that cuts lineage, and what a job leaves behind."""
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL = threading.local()
+
+
+def _scopes() -> list[Scope]:
+    """The open scopes of this thread."""
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
+
+
+class Scope:
+    """Releases what a job has written down and broadcast on its way, once it is left.
+
+    Results are lazy: they must have been written, to a folder of their own, before.
+    Without a scope all of it stays as long as the application.
+    """
+
+    def __enter__(self) -> Scope:
+        self.folders, self.broadcasts = [], []
+        _scopes().append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _scopes().remove(self)
+        for shared in self.broadcasts:
+            shared.destroy()
+        for spark, folder in self.folders:
+            delete_folder(spark, folder)
+
+
+def leave_folder(spark: SparkSession, folder: str) -> None:
+    """Has the current scope delete the folder, if there is a scope."""
+    if _scopes():
+        _scopes()[-1].folders.append((spark, folder))
+
+
+def share(spark: SparkSession, value) -> Broadcast:
+    """A broadcast that the current scope takes back, if there is a scope."""
+    shared = spark.sparkContext.broadcast(value)
+    if _scopes():
+        _scopes()[-1].broadcasts.append(shared)
+    return shared
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def local_session(name: str = "gleanery", cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
@@ -46,6 +96,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     columnar, so later readers still prune columns.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    leave_folder(df.sparkSession, path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
