@@ -1,4 +1,7 @@
-"""Word-window chunks, their vectors, and inner-product search over them."""
+"""Word-window chunks, their vectors, and inner-product search over them.
+
+Searches read keys and vectors; the texts of the few winners are fetched afterwards.
+"""
 
 from __future__ import annotations
 
@@ -11,9 +14,10 @@ from gleanery.functions.text import split_words
 from gleanery.functions.vectors import pair_dot, rounded, unit
 from gleanery.operators.dense import broadcast_vectors, searchable
 from gleanery.operators.encoders import Encoder
-from gleanery.operators.joins import join_wanted
+from gleanery.operators.joins import join_wanted, look_up
 from gleanery.operators.ranking import best_first, top_ranked
 from gleanery.operators.scan import DenseQueries, measure, search_top_k
+from gleanery.sources.layout import bucket_names, without_bucket
 
 # The order of chunks within a corpus, which settles ties.
 CHUNK_KEY = ["doc_id", "chunk_no"]
@@ -35,12 +39,17 @@ def chunk_documents(docs: DataFrame, size: int = 100, overlap: int = 20) -> Data
     return docs.select("doc_id", F.posexplode(texts).alias("chunk_no", "text"))
 
 
+def chunk_vectors(chunks: DataFrame, encoder: Encoder) -> DataFrame:
+    """Chunks with their unit vectors: ``(doc_id, chunk_no, text, embedding)``."""
+    encoded = encoder.encode(chunks, "text", "embedding")
+    return encoded.withColumn("embedding", unit(F.col("embedding")))
+
+
 def build_chunk_vectors(
     docs: DataFrame, encoder: Encoder, size: int = 100, overlap: int = 20
 ) -> DataFrame:
-    """The chunk table: ``(doc_id, chunk_no, text, embedding)`` with unit vectors."""
-    encoded = encoder.encode(chunk_documents(docs, size, overlap), "text", "embedding")
-    return encoded.withColumn("embedding", unit(F.col("embedding")))
+    """The chunks of documents with their unit vectors."""
+    return chunk_vectors(chunk_documents(docs, size, overlap), encoder)
 
 
 def unit_queries(query_vectors: DataFrame) -> DataFrame:
@@ -53,27 +62,36 @@ def chunk_search(
     top_k: int = 5,
     threshold: float | None = 0.7,
     digits: int | None = 6,
+    texts: DataFrame | None = None,
 ) -> tuple[DataFrame, int | None]:
     """The best chunks of each query with all their columns, then the threshold.
 
     The threshold (inclusive) applies to the ``top_k`` chunks, so a query may end
-    up with fewer, and several chunks of one document may be among them.
+    up with fewer, and several chunks of one document may be among them.  ``texts`` has
+    the further columns of chunks by their key, unless ``chunks`` itself does.
     """
-    kept = [c for c in chunks.columns if c != "embedding"]
     queries = unit_queries(query_vectors)
     hits, max_rows = search_top_k(
         queries,
-        chunks,
+        chunks.select(*CHUNK_KEY, "embedding"),
         partial(DenseQueries, scaled=False),
         top_k,
-        keep=kept,
+        keep=CHUNK_KEY,
         ties=CHUNK_KEY,
         size=measure(queries, F.size("query_vector")),
         digits=digits,
     )
     if threshold is not None:
         hits = hits.filter(F.col("score") >= threshold)
-    return hits, max_rows
+    texts = chunks.drop("embedding") if texts is None else texts
+    return with_chunk_columns(hits, texts, max_rows), max_rows
+
+
+def with_chunk_columns(hits: DataFrame, texts: DataFrame, max_rows: int | None) -> DataFrame:
+    """Attach the columns of each hit's chunk."""
+    others = [c for c in without_bucket(texts).columns if c not in CHUNK_KEY]
+    found = look_up(hits, texts, CHUNK_KEY, max_rows)
+    return found.select("query_id", "rank", *CHUNK_KEY, *others, "score")
 
 
 def chunk_search_in_candidates(
@@ -83,17 +101,22 @@ def chunk_search_in_candidates(
     top_k: int = 10,
     max_candidates: int | None = None,
     digits: int | None = 6,
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """Exact search in the chunks of each query's candidate documents, no threshold.
 
     ``max_candidates`` is the number of candidate rows at most, where known.  The
-    whole chunk text is the snippet.
+    whole chunk text is the snippet.  Chunks that are clustered by ``doc_id`` stay where
+    they lie; see ``chunk_search`` for ``texts``.
     """
     wanted = candidates.select("query_id", "doc_id").distinct()
-    pairs = join_wanted(chunks, wanted, "doc_id", max_candidates)
-    scored = pairs.join(broadcast_vectors(unit_queries(query_vectors)), "query_id")
+    pairs = join_wanted(chunks.select(*CHUNK_KEY, "embedding"), wanted, "doc_id", max_candidates)
+    queries = unit_queries(query_vectors)
+    scored = pairs.join(broadcast_vectors(queries), "query_id")
     score = rounded(pair_dot(F.col("embedding"), F.col("query_vector")), digits)
-    scored = scored.select("query_id", *CHUNK_KEY, score.alias("score"), "text")
-    return top_ranked(scored, top_k, best_first(*CHUNK_KEY)).select(
-        "query_id", "rank", *CHUNK_KEY, "score", F.col("text").alias("snippet")
-    )
+    scored = scored.select("query_id", *CHUNK_KEY, score.alias("score"))
+    hits = top_ranked(scored, top_k, best_first(*CHUNK_KEY))
+    max_rows = None if max_candidates is None else max_candidates * top_k
+    texts = chunks if texts is None else texts
+    snippets = texts.select(*CHUNK_KEY, F.col("text").alias("snippet"), *bucket_names(texts))
+    return with_chunk_columns(hits, snippets, max_rows)

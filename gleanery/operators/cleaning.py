@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import or_
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +27,12 @@ NOUN_ENDINGS = {
     "ies": "y",
 }
 
+# Endings of words that are no plurals, however they look.
+SINGULAR_ENDINGS = ["ss", "us", "is"]
+
+# A singular must occur in this share of the documents its plural occurs in, one in so many.
+SUPPORT = 50
+
 # Lemma pairs that may travel to every worker (two short words each).
 LEMMA_PAIRS = 200_000
 
@@ -36,13 +43,16 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(words.alias("word")).groupBy("word").agg(F.count("*").alias("n_docs"))
 
 
-def noun_lemmas(words: DataFrame) -> DataFrame:
+def noun_lemmas(words: DataFrame, support: int = SUPPORT) -> DataFrame:
     """Singulars for the plurals of a vocabulary: ``(word, lemma, n_docs)``.
 
-    A candidate made by an ending rule counts only if the vocabulary has it; of
-    several the shortest wins, then the first in the alphabet.
+    A candidate made by an ending rule counts only on evidence: it must occur in at least
+    one document for every ``support`` documents of the plural, so that a stray misspelling
+    does not become the lemma of a frequent word.  Of several the shortest wins, then the
+    first in the alphabet.
     """
     word = F.col("word")
+    singular = reduce(or_, [word.endswith(e) for e in SINGULAR_ENDINGS])
     candidates = F.array_compact(
         F.array(
             *[
@@ -54,10 +64,12 @@ def noun_lemmas(words: DataFrame) -> DataFrame:
             ]
         )
     )
-    proposed = words.select("word", "n_docs", F.explode(candidates).alias("lemma"))
-    known = words.select(F.col("word").alias("lemma"))
+    plurals = words.filter(~singular)
+    proposed = plurals.select("word", "n_docs", F.explode(candidates).alias("lemma"))
+    known = words.select(F.col("word").alias("lemma"), F.col("n_docs").alias("_support"))
     return (
-        proposed.join(known, "lemma", "left_semi")
+        proposed.join(known, "lemma")
+        .filter(F.col("_support") * support >= F.col("n_docs"))
         .groupBy("word", "n_docs")
         .agg(F.min_by("lemma", F.struct(F.length("lemma"), "lemma")).alias("lemma"))
         .select("word", "lemma", "n_docs")
@@ -78,17 +90,21 @@ def _swap_words(words: pa.Array, lemmas: pa.Array):
 
 
 class Lemmas:
-    """A lemma table ``(word, lemma, n_docs)`` and, if it is small, its Arrow copy."""
+    """A lemma table ``(word, lemma, n_docs)`` and, if it is small, its Arrow copy.
+
+    A word has one lemma: of several the first in the alphabet, for whoever uses the table.
+    """
 
     def __init__(self, table: DataFrame, max_pairs: int = LEMMA_PAIRS):
-        self.table = table
+        self.table = table.groupBy("word").agg(
+            F.min("lemma").alias("lemma"), F.max("n_docs").alias("n_docs")
+        )
         self.max_pairs = max_pairs
 
     @cached_property
     def pairs(self) -> pa.Table | None:
         """All pairs, fetched once; ``None`` if there are too many to pass around."""
-        one_each = self.table.groupBy("word").agg(F.min("lemma").alias("lemma"))
-        head = one_each.limit(self.max_pairs + 1).toArrow()
+        head = self.table.select("word", "lemma").limit(self.max_pairs + 1).toArrow()
         return head.combine_chunks() if head.num_rows <= self.max_pairs else None
 
 
@@ -110,11 +126,8 @@ def lemmatise(df: DataFrame, tokens_col: str, lemmas: Lemmas) -> DataFrame:
 def _lemmatise_by_join(df: DataFrame, tokens_col: str, lemmas: DataFrame) -> DataFrame:
     # numbered and written down: a row keeps its number however often it is read
     rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "lemma-rows")
-    one_each = lemmas.groupBy("word").agg(
-        F.min("lemma").alias("lemma"), F.max("n_docs").alias("n_docs")
-    )
     places = rows.select("_row", F.posexplode(tokens_col).alias("place", "word"))
-    joined = join_by_frequency(places, one_each, "word", "n_docs")
+    joined = join_by_frequency(places, lemmas, "word", "n_docs")
     lists = joined.groupBy("_row").agg(
         F.array_sort(
             F.collect_list(F.struct("place", F.coalesce("lemma", "word").alias("term")))

@@ -13,6 +13,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.sources.layout import wanted_only, without_bucket
+
 # Rows of a narrow side (ids, ranks, words) that may be broadcast, some 64 MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -27,6 +29,9 @@ HOT_ROWS = 10_000
 HOT_KEYS = 10_000
 SALTS = 64
 
+# Rows of a table of vectors that may be broadcast because their keys are hot.
+HOT_TABLE_ROWS = 20_000
+
 
 def rows_if_few(df: DataFrame) -> int | None:
     """The number of rows, or ``None`` if they are too many to broadcast."""
@@ -64,8 +69,10 @@ def join_by_frequency(
     if rare.isEmpty():
         result = joined
     else:
-        found = joined.filter(F.col("_frequent"))
-        open_rows = joined.filter(F.col("_frequent").isNull()).select(*facts.columns)
+        # rows without a key match nothing and would all be shuffled to one task
+        done = F.col("_frequent").isNotNull() | F.col(key).isNull()
+        found = joined.filter(done)
+        open_rows = joined.filter(~done).select(*facts.columns)
         rest = open_rows.join(rare.withColumn("_frequent", F.lit(True)), key, "left")
         result = found.unionByName(rest)
     if how == "inner":
@@ -78,37 +85,68 @@ def join_wanted(
 ) -> DataFrame:
     """Inner join of a big ``table`` with ``wanted`` rows, ``max_rows`` at most.
 
-    Within the bound the table is filtered where it lies; beyond it both sides
-    are shuffled, with salt on the keys that are hot among the wanted rows.
+    Within the bound the table is filtered where it lies.  Beyond it the wanted rows go
+    to the table's rows: a table that is clustered by ``key`` is not shuffled.
     """
+    table = without_bucket(table)
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
         return table.join(F.broadcast(wanted), key)
-    return _salted_join(wanted, table, key, "inner")
+    return _located_join(wanted, table, key)
 
 
-def look_up(rows: DataFrame, table: DataFrame, key: str, max_rows: int | None) -> DataFrame:
-    """Left join of ``rows`` with a big ``table`` that has one row per ``key``."""
+def look_up(
+    rows: DataFrame, table: DataFrame, key: str | list[str], max_rows: int | None
+) -> DataFrame:
+    """Left join of ``rows`` with a big ``table`` that has one row per ``key``.
+
+    For few rows a table in buckets is read in the buckets of their keys only.
+    """
+    keys = [key] if isinstance(key, str) else key
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
-        wanted = F.broadcast(rows.select(key))
-        return rows.join(table.join(wanted, key, "left_semi"), key, "left")
-    return _salted_join(rows, table, key, "left")
+        return rows.join(wanted_only(table, rows, keys), keys, "left")
+    return _salted_join(rows, without_bucket(table), keys, "left")
 
 
-def _salted_join(rows: DataFrame, table: DataFrame, key: str, how: str) -> DataFrame:
-    """Shuffle join; a key that is hot in ``rows`` meets salted copies of its table rows."""
-    counts = rows.groupBy(key).count()
+def join_skewed(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of two shuffled sides; rows of a hot key are spread over copies of its table rows."""
+    return _salted_join(rows, table, keys, "inner")
+
+
+def _hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of very many rows, ``HOT_KEYS`` at most."""
+    counts = rows.groupBy(*keys).count()
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    hot_from = max(HOT_ROWS, math.ceil(total / HOT_KEYS))  # so at most HOT_KEYS keys
-    hot = counts.filter(F.col("count") >= hot_from).select(key, F.lit(SALTS).alias("_copies"))
+    hot_from = max(HOT_ROWS, math.ceil(total / HOT_KEYS))
+    return counts.filter(F.col("count") >= hot_from).select(*keys)
+
+
+def _located_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Inner join that moves ``rows`` to the table.
+
+    Table rows of a hot key go to its rows instead, if they are few; else they are salted.
+    """
+    hot = _hot_keys(rows, [key])
+    if hot.isEmpty():
+        return rows.join(table, key)
     hot = F.broadcast(hot)
-    others = [c for c in rows.columns if c != key]
+    theirs = table.join(hot, key, "left_semi")
+    if len(theirs.select(key).take(HOT_TABLE_ROWS + 1)) > HOT_TABLE_ROWS:
+        return _salted_join(rows, table, [key], "inner")
+    of_hot = rows.join(hot, key, "left_semi").join(F.broadcast(theirs), key)
+    return rows.join(hot, key, "left_anti").join(table, key).unionByName(of_hot)
+
+
+def _salted_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Shuffle join; a key that is hot in ``rows`` meets salted copies of its table rows."""
+    hot = F.broadcast(_hot_keys(rows, keys).withColumn("_copies", F.lit(SALTS)))
+    others = [c for c in rows.columns if c not in keys]
     # rows that consist of their key are all alike and cannot be told apart by a salt
     salt = F.pmod(F.xxhash64(*others), F.col("_copies")) if others else F.lit(0)
-    salted_rows = rows.join(hot, key, "left").withColumn(
+    salted_rows = rows.join(hot, keys, "left").withColumn(
         "_salt", F.coalesce(salt, F.lit(0)).cast("int")
     )
-    salted_table = table.join(hot, key, "left").withColumn(
+    salted_table = table.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))
     )
-    joined = salted_rows.drop("_copies").join(salted_table.drop("_copies"), [key, "_salt"], how)
+    joined = salted_rows.drop("_copies").join(salted_table.drop("_copies"), [*keys, "_salt"], how)
     return joined.drop("_salt")

@@ -23,7 +23,7 @@ RESERVED_TOKENS = 50
 NO_CONTENT = "Content not found."
 NOTHING_FOUND = "Could not find any relevant documents to generate an answer."
 
-CONTEXT_TYPE = "array<struct<doc_id:{id},text:string,score:double>>"
+CONTEXT_TYPE = "array<struct<doc_id:{id},chunk_no:int,text:string,score:double>>"
 
 
 def instruction(key: Column) -> Column:
@@ -90,7 +90,8 @@ def build_prompts(
 ) -> DataFrame:
     """One row per query: ``(query_id, query, prompt, response, retrieved_context)``.
 
-    The context lists every retrieved row, also those that did not fit.  A query
+    The context lists every retrieved row, also those that did not fit, with the number of
+    its chunk where chunks were retrieved.  A query
     with nothing retrieved gets a prompt with a bare context header, or, without
     ``prompt_when_empty``, a fixed response and no prompt.  A query's rows are the
     few that a top-k search left it, so gathering them is bounded by that ``k``.
@@ -98,8 +99,9 @@ def build_prompts(
     id_type = retrieved.schema["doc_id"].dataType.simpleString()
     context_type = CONTEXT_TYPE.format(id=id_type)
     packed = pack_passages(queries, retrieved, max_tokens, token_count)
+    chunk = F.col("chunk_no") if "chunk_no" in retrieved.columns else F.lit(None).cast("int").alias("chunk_no")
     entry = F.struct(
-        F.negate("score").alias("_down"), "rank", "doc_id", "text", "score", "passage", "packed"
+        F.negate("score").alias("_down"), "rank", "doc_id", chunk, "text", "score", "passage", "packed"
     )
     gathered = packed.groupBy("query_id").agg(F.array_sort(F.collect_list(entry)).alias("_all"))
     joined = queries.join(gathered, "query_id", "left").withColumn(
@@ -107,10 +109,12 @@ def build_prompts(
     )
     parts = F.transform(F.filter("_all", lambda e: e["packed"]), lambda e: e["passage"])
     in_order = F.array_sort(
-        F.transform("_all", lambda e: F.struct(e["rank"], e["doc_id"], e["text"], e["score"]))
+        F.transform(
+            "_all", lambda e: F.struct(e["rank"], e["doc_id"], e["chunk_no"], e["text"], e["score"])
+        )
     )
     context = F.transform(
-        in_order, lambda e: F.struct(e["doc_id"], e["text"], e["score"])
+        in_order, lambda e: F.struct(e["doc_id"], e["chunk_no"], e["text"], e["score"])
     ).cast(context_type)
     prompt = F.concat(
         instruction(F.col("instruction_key")),

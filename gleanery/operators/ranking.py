@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.text import snippet
 from gleanery.operators.joins import look_up
+from gleanery.sources.layout import bucket_names
 
 # Parts of a query that are ranked by themselves before the whole query is.
 ROUND_ONE_PARTS = 32
@@ -49,6 +50,7 @@ def with_snippets(hits: DataFrame, snippets: DataFrame, max_rows: int | None) ->
 
 def with_texts(hits: DataFrame, corpus: DataFrame, max_rows: int | None, default: str) -> DataFrame:
     """Attach the whole text of each hit, or ``default`` where there is no document."""
-    return look_up(hits, corpus.select("doc_id", "text"), "doc_id", max_rows).withColumn(
+    texts = corpus.select("doc_id", "text", *bucket_names(corpus))
+    return look_up(hits, texts, "doc_id", max_rows).withColumn(
         "text", F.coalesce("text", F.lit(default))
     )

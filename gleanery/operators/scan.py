@@ -4,6 +4,10 @@ The vectors stay where they lie.  Each task scores its Arrow batches against all
 queries and hands in no more than the best ``k`` rows per query, so the shuffle
 that follows carries winners only, never one row per query and document.
 
+Where very many rows per query are asked for, a first look at a part of the vectors gives
+each query a floor: its k-th best score there, below which no row anywhere can win.  Tasks
+then hand in what reaches the floor only.
+
 The queries travel to the tasks by broadcast as long as their number is within
 a checked bound.  Up to some multiples of it they go in slices, with one pass per
 slice and still no shuffle of vectors.  Beyond that, queries and vectors are both
@@ -27,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gleanery.operators.ranking import ROUND_ONE_PARTS, best_first, top_ranked
-from gleanery.session import input_files, materialise
+from gleanery.session import input_files, materialise, share
 
 # Scores held at once by a task, and the shape of one scoring step.
 STEP_ROWS = 4096
@@ -41,6 +45,9 @@ QUERY_RESULTS = 2_000_000
 # Passes over the vectors, one per slice of queries, before both sides are fragmented.
 MAX_PASSES = 16
 
+# The least score that can win, where a first look has told it.
+FLOOR = "_floor"
+
 # Vectors per fragment when both sides are fragmented.
 FRAGMENT_ROWS = 20_000
 
@@ -76,10 +83,11 @@ class SparseQueries:
         weight = table["query_weights"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         self.steps = []
         for first in range(0, len(self.ids), STEP_QUERIES):
-            mine = np.flatnonzero((query >= first) & (query < first + STEP_QUERIES))
-            mine = mine[np.argsort(term[mine], kind="stable")]
-            degree = np.bincount(term[mine], minlength=len(self.terms))
-            self.steps.append((query[mine] - first, weight[mine], degree, np.cumsum(degree) - degree))
+            # entries are in the order of queries: a step holds its own terms only
+            mine = slice(*np.searchsorted(query, [first, first + STEP_QUERIES]))
+            order = np.argsort(term[mine], kind="stable")
+            own, start, degree = np.unique(term[mine][order], return_index=True, return_counts=True)
+            self.steps.append((query[mine][order] - first, weight[mine][order], own, degree, start))
 
     def prepare(self, batch: pa.RecordBatch):
         lists = batch["terms"]
@@ -92,9 +100,14 @@ class SparseQueries:
 
     def scores(self, prepared, first: int, last: int) -> np.ndarray:
         n_rows, rows, terms, weights = prepared
-        query, query_weight, degree, start = self.steps[first // STEP_QUERIES]
+        query, query_weight, own, degree, start = self.steps[first // STEP_QUERIES]
         size = (last - first) * n_rows
         total = np.zeros(size)
+        if not len(own):
+            return total.reshape(last - first, n_rows)
+        place = np.minimum(np.searchsorted(own, terms), len(own) - 1)
+        hit = own[place] == terms
+        rows, terms, weights = rows[hit], place[hit], weights[hit]
         fan_out = degree[terms]
         cuts = np.searchsorted(np.cumsum(fan_out), np.arange(4_000_000, fan_out.sum(), 4_000_000))
         for part in np.split(np.arange(len(terms)), cuts):
@@ -147,9 +160,11 @@ class Scan:
     ties: tuple[str, ...]
     digits: int | None
 
-    def run(self, queries, batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    def run(
+        self, queries, batches: Iterator[pa.RecordBatch], floor: np.ndarray | None = None
+    ) -> pa.Table | None:
         held, waiting = [], 0
-        floor = np.full(len(queries.ids), -np.inf)
+        floor = np.full(len(queries.ids), -np.inf) if floor is None else floor.copy()
         for batch in batches:
             for at in range(0, batch.num_rows, STEP_ROWS):
                 for piece in self._winners(queries, batch.slice(at, STEP_ROWS), floor):
@@ -224,13 +239,15 @@ def search_top_k(
     max_entries: int = QUERY_ENTRIES,
     max_results: int = QUERY_RESULTS,
     max_passes: int = MAX_PASSES,
+    first_look: DataFrame | None = None,
 ) -> tuple[DataFrame, int | None]:
     """The best ``k`` rows of ``vectors`` for each query, numbered in ``rank``.
 
     ``loader`` turns an Arrow table of queries into a scorer; ``size`` is a checked
     upper bound of the number of queries and of the entries of their vectors, see
-    ``measure``.  Also returns how many result rows there are at most, or ``None``
-    when that is not bounded.
+    ``measure``.  ``first_look`` is a part of the vectors that gives the floors; the
+    result is the same without it.  Also returns how many result rows there are at most,
+    or ``None`` when that is not bounded.
     """
     n_queries, n_entries = size
     if k < 1:
@@ -242,6 +259,12 @@ def search_top_k(
     )
     scan = Scan(k, tuple(keep), tuple(ties), digits)
     slices = max(math.ceil(n_queries * k / max_results), math.ceil(n_entries / max_entries))
+    if first_look is not None and k >= 1 and slices <= max_passes:
+        seen, _ = search_top_k(
+            queries, first_look, loader, k, keep, ties, size, digits, max_entries, max_results, max_passes
+        )
+        floors = seen.filter(F.col("rank") == k).select("query_id", F.col("score").alias(FLOOR))
+        queries = queries.join(materialise(floors, "floors"), "query_id", "left")
     if slices <= 1:
         hits, max_rows = _by_broadcast(queries, vectors, loader, scan, schema), n_queries * k
     elif slices <= max_passes:
@@ -262,12 +285,14 @@ def search_top_k(
 def _by_broadcast(queries, vectors, loader, scan, schema) -> DataFrame:
     """Every task scores its vectors against all queries."""
     columns = schema.fieldNames()
-    shared = queries.sparkSession.sparkContext.broadcast(queries.toArrow())
+    shared = share(queries.sparkSession, queries.toArrow())
 
     def scan_partition(batches):
-        scorer = loader(shared.value)
+        scorer, floor = loader(shared.value), None
+        if FLOOR in shared.value.column_names:
+            floor = shared.value[FLOOR].fill_null(-math.inf).to_numpy()
         if len(scorer.ids):
-            yield from _answer(scan.run(scorer, batches), scorer.ids, columns)
+            yield from _answer(scan.run(scorer, batches, floor), scorer.ids, columns)
 
     return vectors.mapInArrow(scan_partition, schema)
 

@@ -9,14 +9,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import content_words
 from gleanery.operators.cleaning import Lemmas, clean
-from gleanery.operators.joins import join_by_frequency, look_up
+from gleanery.operators.joins import FREQUENT_KEYS, KEY_BYTES, join_by_frequency, look_up
 from gleanery.operators.ranking import with_snippets
 from gleanery.operators.scan import SparseQueries, measure, search_top_k
+from gleanery.session import share
+from gleanery.sources.layout import bucket_column
 
 
 @dataclass(frozen=True)
@@ -39,51 +44,154 @@ class Weighting:
         return F.when(total > 0, total).otherwise(1.0) if self.unit_length else F.lit(1.0)
 
 
-def bag_of_words(docs: DataFrame, lemmas: Lemmas | None = None) -> DataFrame:
-    """Count terms per document: ``(doc_id, term, tf)``.
+COUNTED = "struct<terms: array<string>, tfs: array<bigint>>"
+WEIGHTED = "struct<terms: array<string>, weights: array<double>>"
 
-    The texts are shuffled once, by document; every grouping after it is local.
-    A document without any term keeps one row with a null term.
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The row of every entry of all lists, and the entries."""
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), sizes), lists.flatten()
+
+
+def _summed(lists: pa.Array, times: np.ndarray | None) -> pa.Array:
+    """The different terms of each row with the sum of their ``times`` (1 each if none)."""
+    row, words = _flat(lists)
+    coded = words.dictionary_encode()
+    n = max(1, len(coded.dictionary))
+    code, place = np.unique(row * n + coded.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+    total = np.bincount(place, times, len(code)).astype(np.int64)
+    ends = np.searchsorted(code // n, np.arange(len(lists) + 1)).astype(np.int32)
+    terms = coded.dictionary.take(pa.array(code % n)).cast(pa.string())
+    return pa.StructArray.from_arrays(
+        [pa.ListArray.from_arrays(ends, terms), pa.ListArray.from_arrays(ends, pa.array(total))], ["terms", "tfs"]
+    )
+
+
+def _count_words():
+    @F.arrow_udf(COUNTED)
+    def count(tokens: pa.Array) -> pa.Array:
+        return _summed(tokens, None)
+
+    return count
+
+
+def _count_lemmas(words: pa.Array, lemmas: pa.Array):
+    @F.arrow_udf(COUNTED)
+    def count(terms: pa.Array, tfs: pa.Array) -> pa.Array:
+        flat = terms.flatten()
+        at = pc.index_in(flat, value_set=words.cast(flat.type))
+        swapped = pc.coalesce(lemmas.cast(flat.type).take(at), flat)
+        ends = np.r_[0, np.cumsum(pc.list_value_length(terms).fill_null(0).to_numpy(zero_copy_only=False))]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), swapped.cast(pa.string()))
+        return _summed(lists, tfs.flatten().to_numpy(zero_copy_only=False))
+
+    return count
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """Words of each document before lemmas, counted within its row: ``(doc_id, terms, tfs)``.
+
+    No row moves.  Rows of equal ids are counted each by itself; a document without words
+    has empty lists.
+    """
+    counted = docs.select("doc_id", _count_words()(content_words(F.col("text"))).alias("_counted"))
+    return counted.select("doc_id", "_counted.*")
+
+
+def lemma_counts(counts: DataFrame, lemmas: Lemmas | None) -> DataFrame:
+    """Word counts as counts of lemmas, in rows of the same form.
+
+    A lemma table of checked size goes to the workers.  A larger one is joined word by
+    word, by ids that do not repeat; no text is shuffled for that.
     """
-    words = F.explode_outer(content_words(F.col("text"))).alias("word")
-    rows = docs.select("doc_id", "text").repartition("doc_id").select("doc_id", words)
     if lemmas is None:
-        return _count(rows.withColumnRenamed("word", "term"), F.lit(1))
+        return counts
     if lemmas.pairs is not None:
-        pairs = F.broadcast(lemmas.table.select("word", "lemma"))
-        return _count(_to_terms(rows.join(pairs, "word", "left")), F.lit(1))
-    counts = rows.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
-    known = join_by_frequency(counts, lemmas.table, "word", "n_docs")
-    return _count(_to_terms(known), F.col("n"))
+        if lemmas.pairs.num_rows == 0:
+            return counts
+        count = _count_lemmas(*(lemmas.pairs[c].combine_chunks() for c in ("word", "lemma")))
+        return counts.select("doc_id", count("terms", "tfs").alias("_counted")).select("doc_id", "_counted.*")
+    rows = bag_rows(counts).withColumnRenamed("term", "word")
+    known = join_by_frequency(rows, lemmas.table, "word", "n_docs")
+    terms = known.groupBy("doc_id", F.coalesce("lemma", "word").alias("term")).agg(F.sum("tf").alias("tf"))
+    entry = F.when(F.col("term").isNotNull(), F.struct("term", "tf"))
+    lists = terms.groupBy("doc_id").agg(F.collect_list(entry).alias("_all"))
+    return lists.select("doc_id", F.col("_all")["term"].alias("terms"), F.col("_all")["tf"].alias("tfs"))
 
 
-def _to_terms(known: DataFrame) -> DataFrame:
-    return known.withColumn("term", F.coalesce("lemma", "word"))
+def bag_of_words(docs: DataFrame, lemmas: Lemmas | None = None) -> DataFrame:
+    """Terms of each document with their counts, in one row: ``(doc_id, terms, tfs)``."""
+    return lemma_counts(word_counts(docs), lemmas)
+
+
+def bag_rows(bag: DataFrame) -> DataFrame:
+    """A bag as a table ``(doc_id, term, tf)``.
+
+    A document without any term keeps one row with a null term.
+    """
+    rows = bag.select("doc_id", F.explode_outer(F.arrays_zip("terms", "tfs")).alias("_entry"))
+    return rows.select(
+        "doc_id", F.col("_entry.terms").alias("term"), F.coalesce("_entry.tfs", F.lit(1)).cast("bigint").alias("tf")
+    )
 
 
-def _count(terms: DataFrame, times: Column) -> DataFrame:
-    return terms.groupBy("doc_id", "term").agg(F.sum(times).alias("tf"))
+def vocabulary_of(counts: DataFrame) -> DataFrame:
+    """Every counted word with the number of documents it occurs in: ``(word, n_docs)``."""
+    return counts.select(F.explode("terms").alias("word")).groupBy("word").agg(F.count("*").alias("n_docs"))
 
 
 def term_statistics(
     bag: DataFrame, n_docs: int, weighting: Weighting = Weighting()
 ) -> DataFrame:
-    """Document frequency and inverse document frequency: ``(term, df, idf)``."""
-    counted = bag.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
+    """Document frequency and inverse document frequency: ``(term, df, idf)``.
+
+    Tasks count their own documents first; their statistics are merged by term.
+    """
+    counted = bag.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     return counted.withColumn("idf", weighting.idf(F.col("df"), n_docs))
 
 
 def document_vectors(
     bag: DataFrame, stats: DataFrame, weighting: Weighting = Weighting()
 ) -> DataFrame:
-    """One sparse row per document: ``(doc_id, terms, weights)``."""
-    weighted = join_by_frequency(bag, stats, "term", "df").withColumn(
+    """One sparse row per document: ``(doc_id, terms, weights)``.
+
+    Statistics of checked size go to the workers, and the weights are made within the row.
+    Beyond it terms are joined one by one and gathered by document.
+    """
+    n, size = stats.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if n <= FREQUENT_KEYS and size <= FREQUENT_KEYS * KEY_BYTES:
+        weigh = _weigh(share(bag.sparkSession, stats.select("term", "idf").toArrow()), weighting)
+        return bag.select("doc_id", weigh("terms", "tfs").alias("_row")).select("doc_id", "_row.*")
+    weighted = join_by_frequency(bag_rows(bag), stats, "term", "df").withColumn(
         "weight", weighting.weight(F.col("tf"), F.col("idf"))
     )
     entry = F.when(F.col("term").isNotNull(), F.struct("term", "weight"))
     return _as_rows(weighted, "doc_id", entry, weighting, "terms", "weights")
 
 
+def _weigh(shared, weighting: Weighting):
+    @F.arrow_udf(WEIGHTED)
+    def weigh(terms: pa.Array, tfs: pa.Array) -> pa.Array:
+        known = shared.value.combine_chunks()
+        row, flat = _flat(terms)
+        at = pc.index_in(flat, value_set=known["term"].combine_chunks().cast(flat.type))
+        idf = known["idf"].combine_chunks().take(at).to_numpy(zero_copy_only=False)
+        tf = tfs.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        weight = (1.0 + np.log(tf) if weighting.sublinear else tf) * idf
+        if weighting.unit_length:
+            length = np.sqrt(np.bincount(row, weight * weight, len(terms)))
+            weight = weight / np.where(length > 0, length, 1.0)[row]
+        ends = np.searchsorted(row, np.arange(len(terms) + 1)).astype(np.int32)
+        return pa.StructArray.from_arrays(
+            [pa.ListArray.from_arrays(ends, flat.cast(pa.string())), pa.ListArray.from_arrays(ends, pa.array(weight))],
+            ["terms", "weights"],
+        )
+
+    return weigh
+
+
 def _as_rows(
     weighted: DataFrame, key: str, entry: Column, weighting: Weighting, terms: str, weights: str
 ) -> DataFrame:
@@ -153,16 +261,31 @@ def tfidf_candidates(
     cleaned = clean(queries.select("query_id", "query"), "query", lemmas)
     return search_top_k(
         query_vectors(cleaned, stats, weighting, n_terms),
-        vectors,
+        vectors.select("doc_id", "terms", "weights"),
         SparseQueries,
         k,
         keep=["doc_id"],
         ties=["doc_id"],
         size=(n_queries, n_terms),
         digits=digits,
+        first_look=first_part(vectors, k),
     )
 
 
+# From so many rows per query on, and so many folders of vectors, a first look pays: it
+# reads one folder in so many.
+LOOK_FROM_K, LOOK_FROM_BUCKETS, LOOK_SHARE = 100, 64, 16
+
+
+def first_part(vectors: DataFrame, k: int) -> DataFrame | None:
+    """A few folders of vectors that are laid out by bucket, if they are many."""
+    found = bucket_column(vectors)
+    if not found or k < LOOK_FROM_K or found[1] < LOOK_FROM_BUCKETS:
+        return None
+    part = vectors.filter(F.col(found[0]) < found[1] // LOOK_SHARE)
+    return part.select("doc_id", "terms", "weights")
+
+
 def tfidf_search(
     queries: DataFrame,
     snippets: DataFrame,

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.functions.text import suffixed_snippet
-from gleanery.operators.joins import look_up, rows_if_few
-from gleanery.operators.prompts import build_prompts
-from gleanery.operators.ranking import with_snippets
+from gleanery.operators.joins import join_skewed, look_up, rows_if_few
+from gleanery.operators.prompts import NO_CONTENT, build_prompts
+from gleanery.operators.ranking import with_snippets, with_texts
 from gleanery.plans.engine import Engine
 from gleanery.session import materialise
+from gleanery.sources.layout import bucket_names
 
 # The method names a request may carry.
 METHODS = [
@@ -57,6 +58,7 @@ def validate(requests: DataFrame, datasets: list[str]) -> DataFrame:
 # How many of its hybrid hits a method looks at, and which methods share chunk hits.
 HYBRID_DEPTH = {"hybrid": 10, "faiss_with_basics": 50, "rag_with_basics": 3}
 CHUNK_METHODS = ["embedding_faiss", "rag_with_faiss"]
+PROMPT_METHODS = ["rag_with_faiss", "rag_with_basics"]
 
 
 class _Dataset:
@@ -72,9 +74,19 @@ class _Dataset:
         self.methods = methods
 
     def queries(self, *methods: str) -> DataFrame:
-        """Every different query once, however many requests ask it."""
+        """Every different query once, however many requests ask it, under whatever key."""
         mine = self.requests.filter(F.col("method").isin(list(methods)))
-        return mine.select("query_id", "query", "instruction_key").distinct()
+        return mine.select("query_id", "query").distinct()
+
+    def prompts(self, method: str, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Every query once for each of its instruction keys, and the hits of each of these."""
+        mine = self.requests.filter(F.col("method") == method)
+        asked = mine.select("query_id", "prompt_id", "query", "instruction_key").distinct()
+        theirs = hits.join(asked.select("query_id", "prompt_id"), "query_id").drop("query_id")
+        return (
+            asked.drop("query_id").withColumnRenamed("prompt_id", "query_id"),
+            theirs.withColumnRenamed("prompt_id", "query_id"),
+        )
 
     @cached_property
     def hybrid(self) -> tuple[DataFrame, int | None]:
@@ -99,7 +111,7 @@ class _Dataset:
         if method in CHUNK_METHODS:
             hits = self.hits_of(method, self.chunks)
             if method == "rag_with_faiss":
-                return build_prompts(queries, hits).drop("query")
+                return build_prompts(*self.prompts(method, hits)).drop("query")
             short = suffixed_snippet(F.col("text")).alias("snippet")
             return hits.select("query_id", "rank", "doc_id", "score", short)
         shared, max_rows = self.hybrid
@@ -108,7 +120,8 @@ class _Dataset:
             return with_snippets(hits, engine.snippets, max_rows)
         if method == "faiss_with_basics":
             return engine.chunk_in_documents(queries, hits, max_rows).drop("chunk_no")
-        return engine.prompts_from_documents(queries, hits, max_rows).drop("query")
+        texts = with_texts(hits, engine.corpus, max_rows, NO_CONTENT)
+        return build_prompts(*self.prompts(method, texts), prompt_when_empty=False).drop("query")
 
 
 def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
@@ -117,14 +130,14 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
     Requests are split by dataset and method, and each method runs once for all
     its queries.  Search methods give one row per hit, prompt methods one row per
     request; a result row repeats the query, dataset and method it answers.
-    Requests are independent: searches know queries by their content, not by request
-    ids, which may repeat.  Results have the columns of ``result_schema`` whatever
-    methods are asked for.
+    Requests are independent: searches know queries by their text, not by request ids,
+    which may repeat, nor by instruction keys, which only prompts differ by.  Results have
+    the columns of ``result_schema`` whatever methods are asked for.
     """
     checked = validate(requests, list(engines))
     good = checked.filter(F.col("error").isNull()).drop("error")
-    content = F.to_json(F.struct("instruction_key", "query"), {"ignoreNullFields": "false"})
-    good = good.withColumn("query_id", F.sha2(content, 256))
+    content = F.to_json(F.struct("instruction_key", "query"))  # neither is null
+    good = good.withColumns({"query_id": F.sha2("query", 256), "prompt_id": F.sha2(content, 256)})
     rejects = checked.filter(F.col("error").isNotNull())
     # One row per dataset and method at most, however many requests there are.
     present = sorted(map(tuple, good.select("dataset", "method").distinct().collect()))
@@ -139,8 +152,10 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
         for method in methods:
             answer = work.answer(method)
             echo = mine.filter(F.col("method") == method)
-            echo = echo.select("request_id", "query", "dataset", "method", "query_id")
-            parts.append(_in_schema(echo.join(answer, "query_id"), schema))
+            own = "prompt_id" if method in PROMPT_METHODS else "query_id"
+            echo = echo.select("request_id", "query", "dataset", "method", F.col(own).alias("query_id"))
+            # a query that very many requests ask is one key
+            parts.append(_in_schema(join_skewed(echo, answer, ["query_id"]), schema))
     if not parts:
         return Answers(requests.sparkSession.createDataFrame([], schema), rejects)
     return Answers(reduce(DataFrame.unionByName, parts), rejects)
@@ -148,7 +163,13 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
 
 def result_schema(request_type: T.DataType, id_type: T.DataType) -> T.StructType:
     """Columns of results; ids are strings where datasets of different id types meet."""
-    context = T.StructType().add("doc_id", id_type).add("text", T.StringType()).add("score", T.DoubleType())
+    context = (
+        T.StructType()
+        .add("doc_id", id_type)
+        .add("chunk_no", T.IntegerType())
+        .add("text", T.StringType())
+        .add("score", T.DoubleType())
+    )
     return (
         T.StructType()
         .add("request_id", request_type)
@@ -186,7 +207,9 @@ def get_documents(requests: DataFrame, corpora: dict[str, DataFrame]) -> DataFra
     asked = known.filter(F.col("dataset").isin(list(corpora))).select("dataset").distinct()
     for dataset in sorted(r["dataset"] for r in asked.collect()):  # at most all corpora
         corpus = corpora[dataset]
-        contents = corpus.select(F.col("doc_id").alias("_id"), F.col("text").alias("content"))
+        contents = corpus.select(
+            F.col("doc_id").alias("_id"), F.col("text").alias("content"), *bucket_names(corpus)
+        )
         # an id that its corpus cannot have finds nothing, and fails no other request
         own = F.col("doc_id").cast("string").try_cast(corpus.schema["doc_id"].dataType)
         part = known.filter(F.col("dataset") == dataset).withColumn("_id", own)

@@ -26,10 +26,10 @@ from gleanery.operators.chunks import chunk_documents
 from gleanery.operators.cleaning import clean
 from gleanery.operators.encoders import process_queries
 from gleanery.operators.joins import join_wanted
-from gleanery.operators.sparse import document_weights, query_vectors, tfidf_candidates
+from gleanery.operators.sparse import bag_rows, document_weights, query_vectors, tfidf_candidates
 from gleanery.plans.requests import METHODS, get_documents, run_requests, validate
 from gleanery.plans.workbench import Workbench
-from gleanery.streaming.feed import answer_stream
+from gleanery.streaming.feed import answer_stream, read_answers
 
 REGISTRY = {}
 
@@ -79,10 +79,37 @@ def doc_lookup(w):
 
 @registered
 def doc_lookup_batch(w):
+    assert w.corpus is not None  # laid out by id, which lookups use
     ids = w.table("customer").select(F.col("c_custkey").alias("doc_id"))
     return w.catalog.contents("documents", ids)
 
 
+@registered
+def doc_scan_keep_last(w):
+    """Turns of a conversation share its id: the last one is its text."""
+    return w.catalog.documents("turns")
+
+
+@registered
+def queries_tsv(w):
+    return w.text_files.queries("documents")
+
+
+@registered
+def queries_jsonl(w):
+    return w.text_files.queries("benchmark")
+
+
+@registered
+def qrels_spaced(w):
+    return w.text_files.qrels("documents")
+
+
+@registered
+def qrels_tsv(w):
+    return w.text_files.qrels("benchmark")
+
+
 # Text
 
 
@@ -137,7 +164,7 @@ def snippets(w):
 
 @registered
 def bag_of_words(w):
-    return w.bag
+    return bag_rows(w.bag)
 
 
 @registered
@@ -171,6 +198,19 @@ def tfidf_search(w):
     return w.given_engine.tfidf(w.queries)
 
 
+@registered
+def tfidf_search_postings(w):
+    """The search by term blocks instead of a scan over all vectors."""
+    return w.posting_engine.tfidf(w.queries, by_postings=True)
+
+
+@registered
+def tfidf_zero_fill_postings(w):
+    parts = w.table("part")
+    asked = parts.select(F.col("p_partkey").alias("query_id"), F.col("p_name").alias("query"))
+    return w.posting_engine.tfidf(asked, by_postings=True).select("query_id", "rank", "doc_id", "score")
+
+
 @registered
 def tfidf_two_stage(w):
     return w.given_engine.tfidf(w.queries, top_n=10, candidate_k=4)
@@ -238,6 +278,17 @@ def chunk_search_low_threshold(w):
     return w.engine.chunk(w.queries, threshold=0.3)
 
 
+@registered
+def chunk_search_grouped(w):
+    """The search by groups of near vectors instead of a scan over all."""
+    return w.grouped_engine.chunk(w.queries, by_groups=True)
+
+
+@registered
+def chunk_search_grouped_low_threshold(w):
+    return w.grouped_engine.chunk(w.queries, threshold=0.3, by_groups=True)
+
+
 @registered
 def chunk_search_in_candidates(w):
     return w.engine.chunk_in_hybrid(w.queries, top_k_sparse=60)
@@ -393,29 +444,55 @@ def document_requests(w):
         .otherwise(F.lit("documents"))
         .alias("dataset"),
     )
-    corpora = {n: w.catalog.documents(n) for n in ["documents", "benchmark"]}
+    assert w.corpus is not None  # laid out by id, which lookups use
+    corpora = {n: w.catalog.by_id(n) for n in ["documents", "benchmark"]}
     return get_documents(asked, corpora)
 
 
 @registered
-def streamed_requests(w):
-    arriving = (
-        w.spark.readStream.schema("item_id BIGINT, text STRING")
-        .option("pathGlobFilter", "benchmark.parquet")
-        .parquet(w.folder)
-        .select(
-            F.col("item_id").alias("request_id"),
-            F.col("text").alias("query"),
-            F.lit("documents").alias("dataset"),
-            F.lit("tfidf").alias("method"),
-            F.lit("default").alias("instruction_key"),
-        )
-    )
+def dispatch_repeated_ids(w):
+    """Every request id is used by two queries, and asked twice over with another key."""
+    half = F.col("request_id") - F.col("request_id") % (2 * len(METHODS)) + F.col("request_id") % len(METHODS)
+    asked = all_requests(w).filter(F.col("method").isin("tfidf", "embedding_faiss", "rag_with_basics"))
+    asked = asked.withColumn("request_id", half)
+    twice = asked.union(asked.withColumn("instruction_key", F.lit("default")))
+    answers = run_requests(twice, {"documents": w.engine})
+    context = F.size("retrieved_context").alias("n_retrieved")
+    return answers.results.select("*", context).drop("retrieved_context")
+
+
+def _arriving(w) -> DataFrame:
+    """All methods for all queries, as rows that arrive in four files, some of them again.
+
+    Requests of every fifth query are flawed.
+    """
+    item = F.floor(F.col("request_id") / len(METHODS))
+    flawed = F.when(item % 5 == 0, F.lit("bm25")).otherwise(F.col("method"))
+    rows = all_requests(w).withColumns({"method": flawed, "file": (item % 3).cast("int")})
+    again = rows.filter(item % 4 == 0).withColumn("file", F.lit(3))
+    place = f"{w.store.root}/arriving-{uuid.uuid4().hex}"
+    for number in range(4):  # one after the other, so that they arrive in this order
+        part = rows.union(again).filter(F.col("file") == number).drop("file")
+        part.write.mode("append").parquet(place)
+    schema = rows.drop("file").schema
+    return w.spark.readStream.schema(schema).option("maxFilesPerTrigger", 6).parquet(place)
+
+
+def _streamed(w) -> str:
     place = f"{w.store.root}/stream-{uuid.uuid4().hex}"
-    stream = answer_stream(
-        arriving, {"documents": w.engine}, f"{place}/answers", f"{place}/checkpoint"
-    )
+    stream = answer_stream(_arriving(w), {"documents": w.engine}, f"{place}/answers", f"{place}/checkpoint")
     stream.awaitTermination()
-    return w.spark.read.parquet(f"{place}/answers/results").select(
-        "request_id", "query", "dataset", "method", "rank", "doc_id", "score", "snippet"
-    )
+    return f"{place}/answers"
+
+
+@registered
+def streamed_requests(w):
+    """All seven methods over several micro-batches; what arrives again is not answered again."""
+    results = read_answers(w.spark, _streamed(w))
+    context = F.size("retrieved_context").alias("n_retrieved")
+    return results.select("*", context).drop("retrieved_context")
+
+
+@registered
+def streamed_rejects(w):
+    return read_answers(w.spark, _streamed(w), "rejects").select("request_id", "query", "method", "error")

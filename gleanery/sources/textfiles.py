@@ -1,7 +1,8 @@
 """Query sets and relevance judgements from plain text files.
 
-Malformed lines are skipped, and of repeated ids the last line wins.  Each reader
-takes one file, which Spark may read in several splits.
+Malformed lines are skipped, and of repeated ids the last line wins.  A path may be one
+file or a folder of files, which follow each other by name; Spark may read each in several
+splits.
 """
 
 from __future__ import annotations
@@ -11,22 +12,23 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.text import WHITE_SPACE
 
-# Place of a row within its task: the low bits of the generated row id.
-ROW_IN_TASK = (1 << 33) - 1
-
 
 def _lines(spark: SparkSession, path: str, skip_header: bool = False) -> DataFrame:
-    """Stripped lines with ``place``, which grows along the file."""
+    """Stripped lines with ``place``, which grows along the files.
+
+    Within a split it is the number of the row; the splits of a file follow by their start.
+    """
     raw = spark.read.text(path)
-    if len(raw.inputFiles()) > 1:
-        raise ValueError(f"{path}: one file expected")
-    row, start = F.monotonically_increasing_id(), F.col("_metadata.file_block_start")
-    placed = raw.select("value", F.struct(start.alias("start"), row.alias("row")).alias("place"))
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    placed = raw.select("value", place.alias("place"))
     if skip_header:
-        is_first = (F.col("place.start") == 0) & (
-            F.col("place.row").bitwiseAND(F.lit(ROW_IN_TASK)) == 0
-        )
-        placed = placed.filter(~is_first)
+        # one row per file; a file's first split holds its header
+        first = placed.filter("place.start = 0").groupBy("place.file").agg(F.min("place").alias("place"))
+        placed = placed.join(first.select("place"), "place", "left_anti")
     return placed.withColumn(
         "value", F.regexp_replace("value", f"^{WHITE_SPACE}|{WHITE_SPACE}$", "")
     )

@@ -63,14 +63,14 @@ SELECT word, count(DISTINCT doc_id) AS n_docs FROM doc_words GROUP BY word"""
 PARTS["lemma_candidates"] = " UNION ALL ".join(
     f"""
 SELECT word, n_docs, left(word, length(word) - {len(end)}) || '{one}' AS lemma
-FROM vocab WHERE suffix(word, '{end}')"""
+FROM vocab WHERE suffix(word, '{end}') AND NOT regexp_matches(word, '(ss|us|is)$')"""
     for end, one in NOUN_ENDINGS.items()
 )
 
 PARTS["lemmas"] = """
 SELECT word, lemma, n_docs FROM (
   SELECT c.*, row_number() OVER (PARTITION BY c.word ORDER BY length(c.lemma), c.lemma) AS pick
-  FROM lemma_candidates c WHERE c.lemma IN (SELECT word FROM vocab)
+  FROM lemma_candidates c JOIN vocab v ON v.word = c.lemma AND v.n_docs * 50 >= c.n_docs
 ) WHERE pick = 1"""
 
 PARTS["bag"] = """
@@ -268,9 +268,11 @@ FROM {source}"""
 PARTS["asked_keys"] = f"""
 SELECT query_id, query, {_KEYS}[query_id % 5 + 1] AS instruction_key FROM asked"""
 PARTS["asked_comparative"] = "SELECT *, 'comparative' AS instruction_key FROM asked"
+PARTS["asked_default"] = "SELECT *, 'default' AS instruction_key FROM asked"
 PARTS["asked_parts_default"] = "SELECT *, 'default' AS instruction_key FROM asked_parts"
 _prompt_budgets("budgets", "asked_keys")
 _prompt_budgets("comparative_budgets", "asked_comparative")
+_prompt_budgets("default_budgets", "asked_default")
 _prompt_budgets("parts_budgets", "asked_parts_default")
 
 
@@ -307,6 +309,7 @@ _with_text("hybrid_texts", "given_hybrid_50", 3)
 _packed("hybrid", "budgets", "hybrid_texts")
 _with_text("hash_hybrid_texts", "hash_hybrid", 3)
 _packed("hash_hybrid_comparative", "comparative_budgets", "hash_hybrid_texts")
+_packed("hash_hybrid_default", "default_budgets", "hash_hybrid_texts")
 _with_text("parts_texts", "parts_hybrid", 3)
 _packed("parts", "parts_budgets", "parts_texts")
 
@@ -347,18 +350,23 @@ SELECT query_id, CASE WHEN n_retrieved > 0 THEN prompt END AS prompt,
 FROM {prompts}"""
 
 
-def _dispatch() -> str:
-    """All methods in one result; the request id numbers query and method."""
-
-    def rows(place: int, method: str, source: str, columns: str, plus: str = "") -> str:
-        return f"""
+def _method_rows(place: int, method: str, source: str, columns: str, plus: str = "") -> str:
+    return f"""
 SELECT r.query_id * 7 + {place} AS request_id, a.query, 'documents' AS dataset,
        '{method}' AS method, {columns}
 FROM {source} r JOIN asked a ON a.query_id = r.query_id {plus}"""
 
+
+def _prompt_rows(place: int, method: str, source: str, response: str) -> str:
+    no_hit = "NULL AS rank, NULL AS doc_id, NULL AS score, NULL AS snippet, r.prompt"
+    return _method_rows(place, method, source, f"{no_hit}, {response} AS response, r.n_retrieved")
+
+
+def _dispatch() -> str:
+    """All methods in one result; the request id numbers query and method."""
+    rows = _method_rows
     hit = "r.rank, r.doc_id, r.score, {} AS snippet, NULL AS prompt, NULL AS response, NULL AS n_retrieved"
     text = "LEFT JOIN documents d ON d.doc_id = r.doc_id WHERE r.rank <= 10"
-    no_hit = "NULL AS rank, NULL AS doc_id, NULL AS score, NULL AS snippet, r.prompt, {}, r.n_retrieved"
     short = hit.format(_snippet("d.text"))
     return " UNION ALL ".join(
         [
@@ -366,19 +374,16 @@ FROM {source} r JOIN asked a ON a.query_id = r.query_id {plus}"""
             rows(1, "embedding_brute_force", "hash_dense", short, text),
             rows(2, "embedding_faiss", "chunk_hits", hit.format("left(r.text, 150) || '...'"), "WHERE r.score >= 0.7"),
             rows(3, "hybrid", "hash_hybrid", short, text),
-            rows(4, "rag_with_faiss", "high_comparative_prompts", no_hit.format("NULL AS response")),
+            _prompt_rows(4, "rag_with_faiss", "high_comparative_prompts", "NULL"),
             rows(5, "faiss_with_basics", "chunks_in_hybrid", hit.format("r.snippet")),
-            rows(
-                6,
-                "rag_with_basics",
-                "hash_hybrid_replies",
-                no_hit.format("r.response"),
-            ),
+            _prompt_rows(6, "rag_with_basics", "hash_hybrid_replies", "r.response"),
         ]
     )
 
 
 PARTS["hash_hybrid_replies"] = _fixed_reply("hash_hybrid_comparative_prompts")
+PARTS["hash_hybrid_default_replies"] = _fixed_reply("hash_hybrid_default_prompts")
+PARTS["dispatched"] = _dispatch()
 
 _STATEMENTS = {
     "doc_scan": "SELECT doc_id, text FROM documents",
@@ -388,6 +393,20 @@ _STATEMENTS = {
     "doc_lookup": "SELECT doc_id, text FROM documents WHERE doc_id = 42",
     "doc_lookup_batch": """
 SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT c_custkey FROM customer)""",
+    "doc_scan_keep_last": """
+SELECT conv_id AS doc_id, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id""",
+    "queries_tsv": r"""
+SELECT item_id::VARCHAR AS query_id, CASE WHEN item_id % 3 = 0 THEN 'again' || chr(9) || item_id
+  ELSE trim(regexp_replace(text, '[\x00-\x20]+', ' ', 'g')) END AS query FROM benchmark""",
+    "queries_jsonl": r"""
+SELECT item_id::VARCHAR AS query_id, CASE WHEN item_id % 3 = 0 THEN 'again'
+  ELSE trim(regexp_replace(text, '[\x00-\x20]+', ' ', 'g')) END AS query FROM benchmark""",
+    "qrels_spaced": """
+SELECT (doc_id % 7)::VARCHAR AS query_id, doc_id::VARCHAR AS doc_id,
+       CASE WHEN doc_id % 3 = 0 THEN 4 ELSE quality END AS relevance FROM labels""",
+    "qrels_tsv": """
+SELECT (doc_id % 7)::VARCHAR AS query_id, doc_id::VARCHAR AS doc_id,
+       CASE WHEN doc_id % 3 = 0 THEN -2 ELSE toxic END AS relevance FROM labels""",
     "normalised_text": f"SELECT doc_id, {_normal('text')} AS normalised FROM documents",
     "tokenize": f"""
 SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens
@@ -408,6 +427,9 @@ SELECT doc_id, NULL, 1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ba
     "tfidf_weights": "SELECT doc_id, term, round(weight, 6) AS weight FROM doc_weights",
     "tfidf_query_weights": "SELECT query_id, term, round(weight, 6) AS weight FROM asked_weights",
     "tfidf_search": _search("asked_sparse", 10),
+    "tfidf_search_postings": _search("asked_sparse", 10),
+    "tfidf_zero_fill_postings": """
+SELECT query_id, rank, doc_id, score FROM asked_parts_sparse WHERE rank <= 10""",
     "tfidf_two_stage": _search("asked_sparse", 4),
     "tfidf_zero_fill": """
 SELECT query_id, rank, doc_id, score FROM asked_parts_sparse WHERE rank <= 10""",
@@ -430,6 +452,8 @@ JOIN raw_hash_scaled h ON h.query_id = a.query_id WHERE round(h.x, 6) <> 0""",
     "chunk_embeddings": _flat("chunks_hash_scaled_again", "doc_id, chunk_no"),
     "chunk_search": "SELECT * FROM chunk_hits WHERE score >= 0.7",
     "chunk_search_low_threshold": "SELECT * FROM chunk_hits WHERE score >= 0.3",
+    "chunk_search_grouped": "SELECT * FROM chunk_hits WHERE score >= 0.7",
+    "chunk_search_grouped_low_threshold": "SELECT * FROM chunk_hits WHERE score >= 0.3",
     "chunk_search_in_candidates": "SELECT * FROM chunks_in_60",
     "hybrid_candidates": """
 SELECT s.query_id, s.doc_id, s.rank AS sparse_rank
@@ -443,7 +467,7 @@ SELECT query_id, rank, doc_id, chunk_no, tokens, packed FROM low_packed""",
     "prompt_text": "SELECT query_id, query, prompt FROM low_prompts",
     "prompt_text_default": "SELECT query_id, prompt, n_retrieved FROM high_prompts",
     "prompt_context": """
-SELECT query_id, (rank - 1)::INT AS pos, doc_id, text, score FROM low_packed""",
+SELECT query_id, (rank - 1)::INT AS pos, doc_id, chunk_no, text, score FROM low_packed""",
     "prompt_from_hybrid": _fixed_reply("hybrid_prompts"),
     "prompt_without_hits": _fixed_reply("parts_prompts"),
     "dispatch": _dispatch(),
@@ -469,11 +493,17 @@ FROM (
     FROM customer
   ) c LEFT JOIN documents d ON d.doc_id = c.doc_id LEFT JOIN benchmark b ON b.item_id = c.doc_id
 )""",
-    "streamed_requests": f"""
-SELECT s.query_id AS request_id, a.query, 'documents' AS dataset, 'tfidf' AS method,
-       s.rank, s.doc_id, s.score, {_snippet('d.text')} AS snippet
-FROM asked_sparse s JOIN asked a ON a.query_id = s.query_id
-LEFT JOIN documents d ON d.doc_id = s.doc_id WHERE s.rank <= 10""",
+    "dispatch_repeated_ids": f"""
+SELECT a.* REPLACE (a.request_id - a.request_id % 14 + a.request_id % 7 AS request_id)
+FROM (
+  SELECT * FROM dispatched WHERE method IN ('tfidf', 'embedding_faiss', 'rag_with_basics')
+  UNION ALL SELECT * FROM dispatched WHERE method IN ('tfidf', 'embedding_faiss')
+  UNION ALL {_prompt_rows(6, 'rag_with_basics', 'hash_hybrid_default_replies', 'r.response')}
+) a""",
+    "streamed_requests": "SELECT * FROM dispatched WHERE request_id // 7 % 5 <> 0",
+    "streamed_rejects": """
+SELECT query_id * 7 + place AS request_id, query, 'bm25' AS method, 'Invalid method: bm25' AS error
+FROM asked, unnest(range(7)) AS t(place) WHERE query_id % 5 = 0""",
 }
 
 ORACLES = {name: _with(sql) for name, sql in _STATEMENTS.items()}

@@ -64,7 +64,7 @@ def test_negative_budget_packs_nothing(spark):
     assert queries.select(context_budget(F.col("query"), F.col("instruction_key"))).first()[0] < 0
     row = build_prompts(queries, hits).first()
     assert "Document" not in row["prompt"]
-    assert [tuple(e) for e in row["retrieved_context"]] == [(5, "", 0.9)]
+    assert [tuple(e) for e in row["retrieved_context"]] == [(5, None, "", 0.9)]
 
 
 def test_own_token_counter(spark):
@@ -87,8 +87,8 @@ def test_prompt_text(spark):
         + "\n\nQuestion: why?\nAnswer:"
     )
     assert [tuple(e) for e in got[1]["retrieved_context"]] == [
-        (None, None, 0.5),
-        (7, "later but better", 0.9),
+        (None, None, None, 0.5),
+        (7, None, "later but better", 0.9),
     ]
     assert got[2]["prompt"] == INSTRUCTIONS["default"] + "\n\nContext:\n\nQuestion: how?\nAnswer:"
     assert got[2]["retrieved_context"] == [] and got[2]["response"] is None

@@ -2,10 +2,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.operators.encoders import HashEncoder
-from gleanery.plans.engine import Engine, build_chunks, build_embeddings, build_snippets, build_sparse
+from gleanery.plans.engine import (
+    Engine,
+    build_chunk_groups,
+    build_chunks,
+    build_corpus,
+    build_embeddings,
+    build_postings,
+    build_snippets,
+    build_sparse,
+)
 from gleanery.plans.requests import METHODS, get_documents, run_requests, validate
 from gleanery.sources.artifacts import ArtifactStore
-from gleanery.streaming.feed import answer_stream
+from gleanery.session import shared_folder
+from gleanery.streaming.feed import answer_stream, read_answers
 
 REQUEST = "request_id LONG, query STRING, dataset STRING, method STRING, instruction_key STRING"
 
@@ -13,7 +23,7 @@ REQUEST = "request_id LONG, query STRING, dataset STRING, method STRING, instruc
 @pytest.fixture(scope="module")
 def engines(spark, tmp_path_factory):
     """Two datasets: one with number ids, one with string ids."""
-    store = ArtifactStore(spark, str(tmp_path_factory.mktemp("store")))
+    store = ArtifactStore(spark, str(tmp_path_factory.mktemp("store")), buckets=2)
     number = spark.createDataFrame(
         [(i, t) for i, t in enumerate(["red wine", "green apples", "apple wine", "blue cheese"])],
         "doc_id LONG, text STRING",
@@ -22,11 +32,14 @@ def engines(spark, tmp_path_factory):
     out = {}
     for name, docs in {"number": number, "string": string}.items():
         encoder = HashEncoder(32)
+        build_corpus(store, name, docs)
         build_sparse(store, name, docs)
+        build_postings(store, name)
         build_snippets(store, name, docs)
         build_embeddings(store, name, docs, encoder)
         build_chunks(store, name, docs, encoder)
-        out[name] = Engine.load(store, name, docs, encoder)
+        build_chunk_groups(store, name)
+        out[name] = Engine.load(store, name, encoder, postings=True, groups=True)
     return out
 
 
@@ -140,11 +153,82 @@ def test_stream_equals_batch_and_answers_each_request_once(spark, engines, tmp_p
     run()
     run()
     columns = ["request_id", "method", "rank", "doc_id", "score", "snippet"]
-    got = spark.read.parquet(f"{out}/results").select(columns)
+    got = read_answers(spark, out).select(columns)
     want = run_requests(first.unionByName(second), engines).results.select(columns)
     as_rows = lambda df: sorted(map(str, df.collect()))
     assert as_rows(got) == as_rows(want)
-    assert [r["request_id"] for r in spark.read.parquet(f"{out}/rejects").collect()] == [2]
+    assert [r["request_id"] for r in read_answers(spark, out, "rejects").collect()] == [2]
+
+
+def test_all_methods_over_several_micro_batches_once_and_clean(spark, engines, tmp_path):
+    """Replayed and repeated requests are answered once; nothing but answers is left."""
+    import os
+
+    arrived, out, state = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    rows = [(i, q, "number", m, k) for i, (q, m, k) in enumerate(
+        [(q, m, k) for q in ("red wine", "blue cheese") for m in [*METHODS, "bm25"] for k in (None, "comparative")]
+    )]
+    own = {"number": engines["number"]}
+    place = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(place))
+    for i in range(0, len(rows), 10):
+        again = rows[max(0, i - 3) : i + 10]  # the last three of the batch before come again
+        requests(spark, *again).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(REQUEST).option("maxFilesPerTrigger", 4).parquet(arrived)
+        answer_stream(stream, own, out, state).awaitTermination()
+    assert set(os.listdir(place)) == before
+    want = run_requests(requests(spark, *rows), own)
+    as_rows = lambda df: sorted(map(str, df.collect()))
+    assert as_rows(read_answers(spark, out)) == as_rows(want.results)
+    columns = ["request_id", "query", "error"]
+    assert as_rows(read_answers(spark, out, "rejects").select(columns)) == as_rows(want.rejects.select(columns))
+    batches = len(os.listdir(f"{out}/results"))
+    assert batches > 3
+    # an unfinished micro-batch is not read
+    spark.read.parquet(f"{out}/results/batch=0").write.parquet(f"{out}/results/batch=99")
+    assert as_rows(read_answers(spark, out)) == as_rows(want.results)
+
+
+def test_repeats_are_remembered_within_the_delay_of_their_arrival(spark, engines, tmp_path):
+    arrived, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = REQUEST + ", at TIMESTAMP"
+
+    def arrive(*rows):
+        import datetime as d
+
+        made = [(*r[:5], d.datetime(2024, 1, 1) + d.timedelta(hours=r[5])) for r in rows]
+        spark.createDataFrame(made, schema).coalesce(1).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(schema).parquet(arrived)
+        answer_stream(stream, {"number": engines["number"]}, out, str(tmp_path / "c"), arrival="at", delay="2 hours").awaitTermination()
+
+    arrive((1, "wine", "number", "tfidf", None, 0), (2, "cheese", "number", "tfidf", None, 1))
+    arrive((1, "wine", "number", "tfidf", None, 1), (3, "apples", "number", "tfidf", None, 1))
+    firsts = read_answers(spark, out).filter("rank = 1").collect()
+    assert sorted(r["request_id"] for r in firsts) == [1, 2, 3]
+
+
+def test_searches_run_once_for_a_text_under_several_keys(spark, engines, monkeypatch):
+    asked = []
+    whole = Engine.hybrid_candidates
+    monkeypatch.setattr(Engine, "hybrid_candidates", lambda self, q, *a, **k: asked.append(q) or whole(self, q, *a, **k))
+    rows = [(i, "red wine", "number", "rag_with_basics", k) for i, k in enumerate([None, "comparative", "other"])]
+    got = run_requests(requests(spark, *rows), {"number": engines["number"]}).results.collect()
+    assert [q.count() for q in asked] == [1]
+    assert len({r["prompt"] for r in got}) == 2 and len(got) == 3
+
+
+def test_chunk_answers_name_their_chunk(spark, engines):
+    got = run_requests(requests(spark, (1, "wine red", "number", "rag_with_faiss", None)), {"number": engines["number"]})
+    assert [(e["doc_id"], e["chunk_no"]) for r in got.results.collect() for e in r["retrieved_context"]] == [(0, 0)]
+
+
+@pytest.mark.parametrize("method, option", [("tfidf", "by_postings"), ("chunk", "by_groups")])
+def test_tables_for_few_queries_give_the_rows_of_a_scan(spark, engines, method, option):
+    asked = spark.createDataFrame([(1, "red wine"), (2, "cheese"), (3, "of the"), (4, "zebra")], "query_id LONG, query STRING")
+    for engine in engines.values():
+        answer = getattr(engine, method)
+        as_rows = lambda df: sorted(str(sorted(r.asDict().items())) for r in df.collect())
+        assert as_rows(answer(asked, **{option: True})) == as_rows(answer(asked))
 
 
 def test_requests_of_equal_ids_are_independent(spark, engines):

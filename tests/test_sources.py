@@ -111,6 +111,43 @@ def test_catalog(spark, tmp_path):
         catalog.documents("c")
 
 
+def test_query_sets_and_judgements_by_dataset(spark, tmp_path):
+    catalog = Catalog(
+        spark,
+        [
+            DatasetSpec(
+                "a", "a", queries_path=write(tmp_path / "q.txt", "1\tone", "skip"), qrels_path=write(tmp_path / "r.txt", "1 Q0 d 3")
+            ),
+            DatasetSpec(
+                "b", "b", queries_path=write(tmp_path / "q.jsonl", '{"_id": 2, "text": "two"}'), queries_format="jsonl",
+                qrels_path=write(tmp_path / "r.tsv", "q\td\t1", "2\te\t1"), qrels_format="tsv",
+            ),
+            DatasetSpec("c", "c"),
+        ],
+    )
+    assert rows(catalog.queries("a")) == [("1", "one")] and rows(catalog.qrels("a")) == [("1", "d", 3)]
+    assert rows(catalog.queries("b")) == [("2", "two")] and rows(catalog.qrels("b")) == [("2", "e", 1)]
+    for read in (catalog.queries, catalog.qrels):
+        with pytest.raises(ValueError):
+            read("c")
+        with pytest.raises(UnknownDataset):
+            read("d")
+
+
+def test_files_of_a_folder_follow_by_name(spark, tmp_path, setting):
+    setting("spark.sql.files.maxPartitionBytes", "300")
+    setting("spark.sql.files.openCostInBytes", "0")
+    for name in ("b", "a", "c"):
+        write(tmp_path / f"{name}.txt", *[f"{i}\t{name} {i}" for i in range(0, 60, 1 + "abc".index(name))])
+    got = dict(rows(read_queries_tsv(spark, str(tmp_path))))
+    assert all(got[str(i)] == f"{'c' if i % 3 == 0 else 'b' if i % 2 == 0 else 'a'} {i}" for i in range(60))
+    for name in ("x", "y"):
+        (tmp_path / "q").mkdir(exist_ok=True)
+        write(tmp_path / "q" / f"{name}.tsv", "head\thead\t1", *[f"{name}{i}\td\t1" for i in range(90)])
+    judged = rows(read_qrels_tsv(spark, str(tmp_path / "q")))
+    assert len(judged) == 180 and not any(q == "head" for q, _, _ in judged)
+
+
 def test_scans_prune_and_push_down(spark, tmp_path):
     spark.range(10).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).write.parquet(
         str(tmp_path / "d")

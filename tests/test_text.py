@@ -4,6 +4,7 @@ from gleanery.functions import text as t
 from gleanery.functions.vectors import pair_cosine, pair_dot, rounded, unit
 from gleanery.operators import cleaning
 from gleanery.operators.cleaning import Lemmas, clean, noun_lemmas, vocabulary
+from gleanery.operators.sparse import bag_of_words, bag_rows
 
 
 def column(spark, values, expression):
@@ -79,6 +80,37 @@ def test_lemmas_need_the_singular_in_the_vocabulary(spark):
     }
 
 
+def test_lemmas_need_evidence(spark):
+    """A stray misspelling is no lemma of a frequent word, and some endings never strip."""
+    rows = [(i, "class focus basis notes") for i in range(60)] + [(98, "note"), (99, "clas focu basi")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    words = vocabulary(docs)
+    assert noun_lemmas(words).collect() == []
+    assert [(r["word"], r["lemma"]) for r in noun_lemmas(words, support=60).collect()] == [("notes", "note")]
+    more = docs.union(spark.createDataFrame([(100, "note")], docs.schema))
+    assert [(r["word"], r["lemma"]) for r in noun_lemmas(vocabulary(more)).collect()] == [("notes", "note")]
+
+
+def test_a_word_has_one_lemma_everywhere(spark):
+    """The bag and the cleaned text agree on a table with two lemmas for a word."""
+    pairs = spark.createDataFrame([("cars", "car", 1), ("cars", "auto", 1)], "word STRING, lemma STRING, n_docs LONG")
+    docs = spark.createDataFrame([(1, "red cars")], "doc_id LONG, text STRING")
+    for n in (10, 0):
+        lemmas = Lemmas(pairs, max_pairs=n)
+        bag = sorted(r["term"] for r in bag_rows(bag_of_words(docs, lemmas)).collect())
+        assert bag == sorted(clean(docs, "text", lemmas).first()["tokens"]) == ["auto", "red"]
+
+
+def test_fixed_values():
+    """What the SQL twins take from the code, asserted literally."""
+    assert cleaning.NOUN_ENDINGS == {
+        "s": "", "ses": "s", "ves": "f", "xes": "x", "zes": "z", "ches": "ch", "shes": "sh", "men": "man", "ies": "y",
+    }
+    assert cleaning.SINGULAR_ENDINGS == ["ss", "us", "is"] and cleaning.SUPPORT == 50
+    assert t.PUNCTUATION == "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" and t.SNIPPET_LENGTH == 150
+    assert len(t.STOP_WORDS) == 181 and {"the", "of", "does"} <= set(t.STOP_WORDS)
+
+
 def test_stop_words_go_before_lemmas(spark):
     # "does" is a stop word; its would-be lemma is never reached.
     docs = spark.createDataFrame([(1, "does doe does haves have")], "doc_id LONG, text STRING")
