@@ -8,7 +8,10 @@ wherever they stand.  An element of a fingerprint is an anchor's hash with the d
 to the next anchor, which matches anchors together with their relative positions.
 
 Defined results: a null text counts as empty; texts without tokens have the empty
-fingerprint, alike to each other (1) and unlike any other (0).
+fingerprint, alike to each other (1) and unlike any other (0).  Keys may be of any type that
+can be ordered; null keys come after all others and equal keys follow their texts.  A text
+of any length is read whole, within its row; an empty table gives no rows.  Columns other
+than key and text do not take part, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 UNSPACED = r"฀-໿぀-ヿ㐀-鿿\x{20000}-\x{3FFFF}"
 TOKENS = rf"[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]{{1,32}}"
@@ -82,23 +86,40 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * shared / total)
 
 
+def _borders(docs: DataFrame, key: str, n_rows: int, n_ranges: int) -> list:
+    """Up to ``n_ranges`` keys in ascending order that part the rows about evenly; the last
+    one is the largest of all."""
+    if isinstance(docs.schema[key].dataType, NumericType):
+        shares = [i / n_ranges for i in range(1, n_ranges + 1)]
+        found = docs.agg(F.percentile_approx(key, shares, 10 * max(1000, n_ranges)).alias("b")).first()["b"]
+        return sorted(set(found or []))
+    one_in = max(1, n_rows // (16 * n_ranges))
+    keys = docs.select(F.col(key).alias("k")).filter("k is not null")
+    sample = keys.filter(F.pmod(F.xxhash64("k"), F.lit(one_in)) == 0).distinct()
+    place = F.ntile(n_ranges).over(Window.orderBy("k"))
+    parted = sample.withColumn("part", place).groupBy("part").agg(F.max("k").alias("k"))
+    largest = keys.agg(F.max("k").alias("k")).filter("k is not null")
+    return [r["k"] for r in parted.select("k").union(largest).distinct().orderBy("k").collect()]
+
+
 def with_neighbours(
     docs: DataFrame, key: str, text: str, n_rows: int, rows_per_range: int = 256, max_ranges: int = 65536
 ) -> tuple[DataFrame, Column]:
     """Deals rows out by ranges of ``key`` in descending order, and what gives the next row.
 
-    The borders of the ranges are keys that occur (approximate quantiles, a bounded list).
+    The borders of the ranges are keys that occur: approximate quantiles of numbers, for keys
+    of another type those of a sample by hash; a bounded list either way.
     The row that holds a border is also dealt, as a guest, to the range above, whose last
     row it follows; the row of the largest key is the guest of the lowest range.  So every
     row finds its follower within its range and no range is gathered whole by the driver.
     Equal keys are ordered by text; null keys come last.  Returns the rows and the window.
     """
     n_ranges = max(1, min(max_ranges, n_rows // rows_per_range))
-    shares = [i / n_ranges for i in range(1, n_ranges + 1)]
-    borders = sorted(
-        set(docs.agg(F.percentile_approx(key, shares, 10 * max(1000, n_ranges)).alias("b")).first()["b"] or [])
-    )
-    steps, bounds = [1 << b for b in reversed(range(len(borders).bit_length()))], F.lit(borders or [0])
+    borders = _borders(docs, key, n_rows, n_ranges)
+    kind = docs.schema[key].dataType
+    steps, bounds = [1 << b for b in reversed(range(len(borders).bit_length()))], F.array(F.lit(None).cast(kind))
+    if borders:
+        bounds = F.lit(borders) if isinstance(kind, NumericType) else F.array(*[F.lit(b).cast(kind) for b in borders])
     id_ = F.col(key)
     # how many borders lie below the key, by halving steps
     place = F.aggregate(

@@ -6,11 +6,12 @@ their sum asks for.  Partial partitions are merged, those of the largest imbalan
 large sums of the one on small sums of the other, which ends in near-equal windows.  When
 a window exceeds the capacity, the group is packed anew with one window more.
 
-Documents are packed where they are read: nothing is shuffled, a group is bounded, and a
-repeated task packs the same rows in the same way.
+Documents are packed where they are read: nothing is shuffled, a group is bounded in its
+tokens and its pieces, and a repeated task packs the same rows in the same way.
 
 Defined results: a null text counts as empty and consists of the closing id alone; repeated
-rows are packed each for itself; other columns than key and text do not take part.
+rows and rows of null keys are packed each for itself; other columns than key and text do not
+take part; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -118,8 +119,9 @@ def encoder(definition: bytes, pattern: str) -> Encoder:
 class Packer:
     """Collects pieces and gives each its sequence."""
 
-    def __init__(self, first_sequence: int, capacity: int, piece: int, group_tokens: int):
-        self.capacity, self.piece, self.group_tokens = capacity, piece, group_tokens
+    def __init__(self, first_sequence: int, capacity: int, piece: int, group_tokens: int, group_pieces: int):
+        self.capacity, self.piece = capacity, piece
+        self.group_tokens, self.group_pieces = group_tokens, group_pieces
         self.sequence = first_sequence
         self.ready, self.open, self.size = [], [], 0
 
@@ -134,7 +136,7 @@ class Packer:
             else:
                 self.open.append(row)
                 self.size += b - a
-        if self.size >= self.group_tokens:
+        if self.size >= self.group_tokens or len(self.open) >= self.group_pieces:
             self.close()
 
     def close(self) -> None:
@@ -161,6 +163,7 @@ def pack(
     capacity: int = 1024,
     piece: int = 128,
     group_tokens: int = 1 << 19,
+    group_pieces: int = 1 << 13,
     end_id: int = 0,
 ) -> DataFrame:
     """One row per piece with its place; ``end_id`` closes every document."""
@@ -169,7 +172,7 @@ def pack(
 
     def run(batches):
         encode = encoder(shared.value, pattern)
-        packer = Packer(TaskContext.get().partitionId() << 40, capacity, piece, group_tokens)
+        packer = Packer(TaskContext.get().partitionId() << 40, capacity, piece, group_tokens, group_pieces)
 
         def rows(found):
             columns = list(zip(*found))

@@ -206,7 +206,10 @@ WITH d AS (
     NOT regexp_matches(l, '\p{{L}}') OR regexp_matches(l, '{quality.BOILERPLATE}')
     OR (n < 3 AND NOT regexp_matches(trim(l), '{quality.CLOSED.replace("'", "''")}'))
     OR (bars >= 2 AND bars * 100 >= length(l) * 4) OR (signs >= 2 AND signs * 100 >= length(l) * 5)
-    OR (shouts >= 3 AND shouts * 100 >= n * 30) OR (n >= 20 AND len(list_distinct(own)) * 100 < n * 40)
+    OR (shouts >= 3 AND shouts * 100 >= n * 30) OR (n >= 20 AND len(list_distinct(own)) * 100 < n * 40 AND (n <= 500
+      OR list_sum(list_transform(range(1, n + 1, 500), lambda i: len(list_distinct(own[i : i + 499])))) * 100 < n * 40
+      OR (n - 7 - len(list_distinct(list_transform(range(1, n - 6), lambda i: array_to_string(own[i : i + 7], ' '))))) * 100
+         >= (n - 7) * 15))
   ) AS fails FROM counted
 ), by_doc AS (
   SELECT doc_id, coalesce(sum(n) FILTER (fails), 0) AS lost,

@@ -1,6 +1,8 @@
 import hashlib
+
 import re
 
+import pytest
 import xxhash
 
 from gleanery.llm import fingerprints as fp
@@ -73,6 +75,18 @@ def test_repeated_and_null_keys_and_few_rows(spark):
     assert fp.compare_with_next(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "double"])
+def test_keys_of_any_type(spark, kind):
+    rows = [(i, f"word{i} " + " ".join(f"w{(i * 7 + j) % 50}" for j in range(i % 40))) for i in range(900)]
+    cast = {"string": "concat('a', lpad(id, 5, '0'))", "date": "date_add(date'2000-01-01', cast(id as int))", "double": "id / 7d"}
+    docs = spark.createDataFrame(rows + [(None, "no key")], "id long, text string")
+    whole = {r.n: r for r in fp.compare_with_next(docs.withColumnRenamed("id", "doc_id")).withColumnRenamed("doc_id", "n").collect()}
+    made = docs.selectExpr(f"{cast[kind]} as doc_id", "text", "id")
+    names = {r.doc_id: r.id for r in made.collect()}
+    for r in fp.compare_with_next(made.drop("id")).collect():
+        assert tuple(r)[1:] == tuple(whole[names[r.doc_id]])[1:]
+
+
 def test_text_form_reads_back(spark):
     df = fp.with_elements(spark.createDataFrame([("some words in a row for a print",)], "t string"), "t", "e")
     row = df.select("e", fp.from_text(fp.as_text(df.e)).alias("back")).first()
