@@ -1,15 +1,17 @@
-"""Substring deduplication by counting the word windows of all texts.
+"""Substring deduplication by relative Lempel-Ziv parsing of texts against each other.
 
 1. Every window of ``window`` words has an anchor: its run of ``seed`` words with the
    smallest hash.  Equal windows have equal anchors, so only windows whose anchor occurs
    twice or more can repeat; all other words are literals of the parse.
-2. The windows of these anchors are dealt to blocks by hash.  A batch of
-   documents sends each block its different windows once, and a block answers which of
-   them another batch has too.  Frequent windows are thus aggregated before the shuffle.
-3. Every window start that occurs twice or more, in its own batch or another one, is
-   marked.  Consecutive starts make one span, of at least ``window`` words.  No reference
-   position is kept and no factor extended as in a relative Lempel-Ziv parse: whether a
-   word goes depends on the windows over it only, so that there are no borders to look up.
+2. The windows of these anchors are the reference, dealt to blocks that index them by hash.
+   A batch of documents sends each block its different windows once, with their places, and
+   a block answers where another batch has them.  Frequent windows are thus aggregated
+   before the shuffle.
+3. Every text is parsed greedily: a factor begins at a window that has a reference, in
+   another batch or elsewhere in its own, and grows word by word as long as the next window
+   has its reference at the next place.  Where it breaks off, the windows over the border
+   are looked up one by one and begin factors of their own.  A factor has ``window`` words
+   or more, and factors that overlap or touch are one duplicate span.
 
 Windows are compared by a 64-bit hash; seeds only choose candidates.
 
@@ -78,13 +80,13 @@ def _anchors(docs: DataFrame, window: int, seed: int) -> DataFrame:
 class _Out:
     """Rows of the second look at the texts: finished documents, open ones, and messages."""
 
-    NAMES = ["kind", "batch", "doc_id", "text", "n_words", "block", "windows"]
+    NAMES = ["kind", "batch", "doc_id", "text", "n_words", "block", "windows", "places"]
 
     def __init__(self, kind: pa.DataType):
-        self.types = [pa.string(), pa.int64(), kind, pa.string(), pa.int64(), pa.int64(), pa.binary()]
+        self.types = [pa.string(), pa.int64(), kind, pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
-    def rows(self, kind, n, batch=None, doc_id=None, text=None, n_words=None, block=None, windows=None):
-        given = [[kind] * n, [batch] * n, doc_id, text, n_words, block, windows]
+    def rows(self, kind, n, batch=None, doc_id=None, text=None, n_words=None, block=None, windows=None, places=None):
+        given = [[kind] * n, [batch] * n, doc_id, text, n_words, block, windows, places]
         arrays = [
             pa.nulls(n, t) if g is None else g.cast(t) if isinstance(g, pa.Array) else pa.array(g, t)
             for g, t in zip(given, self.types)
@@ -116,14 +118,16 @@ def _messages(docs: DataFrame, window: int, seed: int, blocks: int) -> DataFrame
                 wanted = np.unique(anchors[mine].flatten().to_numpy().view(np.uint64))
                 place = np.searchsorted(wanted, seeds[at])
                 hit = whole & (wanted[np.minimum(place, len(wanted) - 1)] == seeds[at])
-                found = np.unique(of[hit])
+                places = np.flatnonzero(hit)
+                found, first = np.unique(of[places], return_index=True)
+                places = places[first].astype(np.uint32)
                 block = (found % np.uint64(blocks)).astype(np.int64)
                 order = np.argsort(block, kind="stable")
-                found, block = found[order], block[order]
+                found, places, block = found[order], places[order], block[order]
                 to, first = np.unique(block, return_index=True)
-                cuts = [*first, len(found)]
-                packed = [found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-                yield out.rows("window", len(to), number, block=to, windows=packed)
+                cuts = list(zip([*first], [*first[1:], len(found)]))
+                packed = [[x[a:b].tobytes() for a, b in cuts] for x in (found, places)]
+                yield out.rows("window", len(to), number, block=to, windows=packed[0], places=packed[1])
                 yield out.rows(
                     "open", len(part), number, doc_id=ids[mine], text=part, n_words=np.diff(words.first)
                 )
@@ -131,62 +135,121 @@ def _messages(docs: DataFrame, window: int, seed: int, blocks: int) -> DataFrame
 
     return docs.select("doc_id", "text", "anchors").mapInArrow(
         run,
-        f"kind string, batch long, doc_id {kind}, text string, n_words long, block long, windows binary",
+        f"kind string, batch long, doc_id {kind}, text string, n_words long, block long, windows binary, places binary",
     )
 
 
-def _shared_windows(key, table):
-    """For each batch its windows of this block that another batch has too."""
-    packed = table["windows"].to_pylist()
+ANSWERS = "batch long, windows binary, batches binary, places binary"
+
+
+def _references(key, table):
+    """For each batch, where another batch has its windows of this block.
+
+    The reference of a window is its first batch, and for that batch its second.
+    """
+    packed, batch = table["windows"].to_pylist(), table["batch"].to_numpy()
     hashes = np.concatenate([np.frombuffer(p, np.uint64) for p in packed])
+    places = np.concatenate([np.frombuffer(p, np.uint32) for p in table["places"].to_pylist()])
     sender = np.repeat(np.arange(len(packed)), [len(p) // 8 for p in packed])
-    values, index, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    twice = counts[index] > 1
-    batch = table["batch"].to_numpy()
-    sender, hashes = sender[twice], hashes[twice]
-    cuts = np.searchsorted(sender, np.arange(len(packed) + 1))
-    answers = [hashes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-    full = [i for i, a in enumerate(answers) if a]
+    order = np.lexsort((batch[sender], hashes))
+    same = hashes[order][1:] == hashes[order][:-1]
+    head = np.flatnonzero(np.r_[True, ~same])  # the first batch of each window
+    size = np.diff(np.r_[head, len(order)])
+    first = np.repeat(head, size)
+    other = np.where(np.arange(len(order)) == first, first + 1, first)
+    twice = np.repeat(size > 1, size)
+    asks, answers = order[twice], order[other[twice]]
+    by_sender = np.lexsort((places[asks], sender[asks]))
+    asks, answers = asks[by_sender], answers[by_sender]
+    cuts = np.searchsorted(sender[asks], np.arange(len(packed) + 1))
+    full = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+    told = [hashes[asks], batch[sender[answers]], places[answers]]
     return pa.table(
-        {"batch": pa.array(batch[full], pa.int64()), "windows": pa.array([answers[i] for i in full], pa.binary())}
+        {
+            "batch": pa.array([batch[i] for i, _, _ in full], pa.int64()),
+            **{
+                name: pa.array([x[a:b].tobytes() for _, a, b in full], pa.binary())
+                for name, x in zip(["windows", "batches", "places"], told)
+            },
+        }
     )
 
 
-def _factors(repeated: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Spans ``(start, length)``: consecutive window starts that occur twice make one."""
-    if not len(repeated):
+def _own_references(of: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each window start another start of the same window in this batch, or -1.
+
+    It is the first one, and for that the second.
+    """
+    order = np.argsort(of[starts], kind="stable")
+    values = of[starts][order]
+    head = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(order) else order
+    size = np.diff(np.r_[head, len(order)])
+    first = np.repeat(head, size)
+    other = np.where(np.arange(len(order)) == first, first + 1, first)
+    twice = np.repeat(size > 1, size)
+    out = np.full(len(starts), -1, np.int64)
+    out[order[twice]] = starts[order[other[twice]]]
+    return out
+
+
+def _factors(starts: np.ndarray, batch: np.ndarray, place: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
+    """Factors ``(start, length, batch, place)`` of a text from the references of its windows.
+
+    A factor grows while the next window refers to the next place of the same batch.
+    """
+    if not len(starts):
         return []
-    breaks = np.flatnonzero(np.diff(repeated) > 1) + 1
-    starts, ends = repeated[np.r_[0, breaks]], repeated[np.r_[breaks - 1, -1]] + window
-    return list(zip(starts.tolist(), (ends - starts).tolist()))
+    breaks = np.flatnonzero((np.diff(starts) != 1) | (np.diff(batch) != 0) | (np.diff(place) != 1)) + 1
+    first, last = np.r_[0, breaks], np.r_[breaks - 1, len(starts) - 1]
+    length = starts[last] - starts[first] + window
+    return list(zip(starts[first].tolist(), length.tolist(), batch[first].tolist(), place[first].tolist()))
+
+
+def _spans(factors: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """Spans ``(start, length)`` of the factors, those that overlap or touch as one."""
+    spans = []
+    for start, length, _, _ in factors:
+        if spans and start <= spans[-1][0] + spans[-1][1]:
+            spans[-1] = (spans[-1][0], start + length - spans[-1][0])
+        else:
+            spans.append((start, length))
+    return spans
 
 
 def _parse(window: int, with_text: bool):
     def parse(key, docs, answers):
         texts = docs["text"].combine_chunks() if len(docs) else pa.array([], pa.string())
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-        elsewhere = np.concatenate(
-            [np.zeros(0, np.uint64), *[np.frombuffer(p, np.uint64) for p in answers["windows"].to_pylist()]]
-        )
+        told = [
+            np.concatenate([np.zeros(0, kind), *[np.frombuffer(p, kind) for p in answers[name].to_pylist()]])
+            for name, kind in (("windows", np.uint64), ("batches", np.int64), ("places", np.uint32))
+        ]
+        order = np.argsort(told[0], kind="stable")
+        elsewhere, there, at = (x[order] for x in told)
         words = Words(texts)
         of = runs(words.hashes(), window)
         row = np.repeat(np.arange(len(texts)), np.diff(words.first))
         whole = row[: len(of)] == row[window - 1 :] if len(of) else np.zeros(0, bool)
         starts = np.flatnonzero(whole)
-        values, index, counts = np.unique(of[starts], return_inverse=True, return_counts=True)
-        twice = (counts > 1) | np.isin(values, elsewhere)
-        repeated = starts[twice[index]]
+        # a reference in another batch goes before one in this
+        place, batch = _own_references(of, starts), np.full(len(starts), -1, np.int64)
+        if len(elsewhere):
+            found = np.minimum(np.searchsorted(elsewhere, of[starts]), len(elsewhere) - 1)
+            hit = elsewhere[found] == of[starts]
+            place[hit], batch[hit] = at[found[hit]], there[found[hit]]
+        known = place >= 0
+        repeated, place, batch = starts[known], place[known], batch[known]
         out = {"doc_id": docs["doc_id"], "n_words": [], "spans": [], "n_removed": [], "kept": [], "kept_words": []}
         for i, text in enumerate(texts.to_pylist()):
             first, last = words.first[i], words.first[i + 1]
             a, b = np.searchsorted(repeated, [first, last])
-            factors = _factors(repeated[a:b] - first, window)
+            spans = _spans(_factors(repeated[a:b] - first, batch[a:b], place[a:b], window))
             gone = np.zeros(last - first, bool)
-            for start, length in factors:
+            for start, length in spans:
                 gone[start : start + length] = True
             raw = (text or "").encode("utf-8")
             out["n_words"].append(int(last - first))
-            out["spans"].append([{"start": s, "length": n} for s, n in factors])
+            out["spans"].append([{"start": s, "length": n} for s, n in spans])
             out["n_removed"].append(int(gone.sum()))
             out["kept_words"].append(b" ".join(compress(raw.split(), ~gone)).decode("utf-8"))
             out["kept"].append(_cut(raw, words, first, gone) if with_text else None)
@@ -247,8 +310,10 @@ def remove_repeats(
     blocks = max(1, -(-n * (window - seed + 1) // 2 // BLOCK))
     told = _messages(docs.join(hits, "k", "left"), window, seed, blocks)
     path = scratch.write(told, "told", partition_by="kind")
-    sent = path.filter("kind = 'window'").select("block", "batch", "windows")
-    answers = sent.groupBy("block").applyInArrow(_shared_windows, "batch long, windows binary")
+    del told
+    scratch.release(repeated, hits)
+    sent = path.filter("kind = 'window'").select("block", "batch", "windows", "places")
+    answers = sent.groupBy("block").applyInArrow(_references, ANSWERS)
     open_ = path.filter("kind = 'open'").select("batch", "doc_id", "text")
     id_type = open_.schema["doc_id"].dataType.simpleString()
     parsed = open_.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
