@@ -8,19 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.session import shared_folder
+from gleanery.session import delete_folder, leave_folder, shared_folder
 
 
 class Scratch:
     """Writes intermediate tables and deletes those that are not needed any more.
 
     A written table cuts lineage, survives lost executors and is read column by column.
+    The folder goes with the scope it was opened in, if there is one.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self.n = 0
+        leave_folder(spark, self.folder)
 
     def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         self.n += 1
@@ -39,8 +41,7 @@ class Scratch:
         gc.collect()
         self.spark._jvm.System.gc()
         for table in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(self.spark, table.scratch_path)
 
 
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -17,7 +18,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no fixture
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.SQL) <= set(entry.oracle_sql())
 
 
@@ -104,3 +105,50 @@ def test_components(spark):
     found = {r.node: r.component for r in components(Scratch(spark, "test"), df).collect()}
     assert found == {1: 1, 2: 1, 3: 1, **{n: 5 for n in (5, 6, 7, 8, 9, 30, 40)}}
     assert Counter(components(Scratch(spark, "test"), df.limit(0)).collect()) == Counter()
+
+
+CLASHING = ["score", "lang_pred", "typical", "cleaned", "kept", "n_words", "_row", "_kept", "_found", "row", "key", "file", "place", "_in"]
+
+
+def test_further_columns_pass_whatever_they_are_called(spark):
+    base = spark.createDataFrame(
+        [(i, prose(i, 40) + "." + " äöü" * 5, "en", "s", 3) for i in range(6)] + [(9, prose(1, 40) + "." + " äöü" * 5, "de", "s", 3)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    docs = base.select("*", *[functions.concat_ws("-", functions.lit(c), "doc_id").alias(c) for c in CLASHING])
+    path = f"{Scratch(spark, 'test').folder}/clashing"
+    docs.write.parquet(path)
+    for given in (docs, spark.read.parquet(path)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            got = stage(spark, given, FOLDER)
+            assert got.columns == docs.columns, name
+            for r in got.collect():
+                assert all(r[c] == f"{c}-{r.doc_id}" for c in CLASHING), name
+        assert stage(spark, given, FOLDER).count() > 0
+
+
+def test_without_labels_every_text_with_a_letter_stays(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(1, "some words", None, "s", 1), (2, "123", None, "s", 1), (3, None, None, "s", 1)], schema)
+    assert [r.doc_id for r in corpus_pipeline.identify_language(spark, docs, FOLDER).collect()] == [1]
+
+
+def test_long_texts_pass_whole(spark):
+    words = " ".join(f"word{i}" for i in range(200_000))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(1, words + ".", "en", "s", 1), (2, prose(3, 50) + ".", "en", "s", 1)], schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, FOLDER)
+    assert {r.doc_id: r.text for r in docs.collect()}[1] == words + "."
+
+
+@needs_tables
+def test_a_run_leaves_its_result_only(spark):
+    from gleanery.session import shared_folder
+
+    place = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(place))
+    result = corpus_pipeline.run(spark, FOLDER)
+    assert result.count() > 0
+    (new,) = set(os.listdir(place)) - before
+    assert [n.split("-")[0] for n in os.listdir(f"{place}/{new}")] == ["packing"]
