@@ -28,9 +28,9 @@ from gleanery.operators.sparse import Weighting, document_weights, query_vectors
 from gleanery.session import materialise
 from gleanery.sources.layout import bucket_column, bucket_of, wanted_only
 
-# Entries of a block, on average at most, and levels of weight: powers of two below one.
+# Entries of a block, on average at most, and levels of weight: two for each halving.
 BLOCK_ROWS = 4096
-LEVELS = 24
+LEVELS = 48
 
 # How many times k entries the first step reads of a query's best blocks.
 FIRST_READ = 4
@@ -50,7 +50,7 @@ def term_blocks(vectors: DataFrame, stats: DataFrame, block_rows: int = BLOCK_RO
     """
     entries = join_by_frequency(document_weights(vectors), stats.select("term", "df"), "term", "df")
     splits = F.ceil(F.col("df") / block_rows).cast("long")
-    level = F.least(F.greatest(F.floor(-F.log2("weight")), F.lit(0)), F.lit(LEVELS)).cast("int")
+    level = F.least(F.greatest(F.floor(-2 * F.log2("weight")), F.lit(0)), F.lit(LEVELS)).cast("int")
     part = F.pmod(F.xxhash64("doc_id"), splits)
     blocks = entries.groupBy("term", level.alias("level"), part.alias("part")).agg(
         F.count("*").alias("n"),

@@ -63,7 +63,7 @@ def write_by_bucket(df: DataFrame, path: str, key: str, buckets: int) -> DataFra
 
 
 def read_by_bucket(spark: SparkSession, path: str, schema: T.StructType, buckets: int) -> DataFrame:
-    return spark.read.schema(T.StructType(schema.fields).add(f"bucket_{buckets}", T.IntegerType())).parquet(path)
+    return spark.read.schema(T.StructType(list(schema.fields)).add(f"bucket_{buckets}", T.IntegerType())).parquet(path)
 
 
 def wanted_only(table: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:

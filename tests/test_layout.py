@@ -146,16 +146,28 @@ def test_chunk_searches_read_texts_of_winners_only(spark, store, vectors):
 # Postings
 
 
+def word(i):
+    """Digits would be cleaned away."""
+    return "zq" + chr(97 + i // 26) + chr(97 + i % 26)
+
+
+def asking(*numbers):
+    return " ".join(map(word, numbers))
+
+
 def model(spark, n=400, seed=1):
     draw = random.Random(seed)
-    texts = [" ".join(f"t{int(draw.paretovariate(0.7)) % 300}" for _ in range(draw.randrange(30))) for _ in range(n)]
+    texts = [" ".join(word(int(draw.paretovariate(0.7)) % 300) for _ in range(draw.randrange(30))) for _ in range(n)]
     bags = [(i, sorted(c := Counter(t.split())), [c[w] for w in sorted(c)]) for i, t in enumerate(texts)]
     bag = spark.createDataFrame(bags, "doc_id long, terms array<string>, tfs array<long>")
     stats = term_statistics(bag, n)
     return bag, stats, document_vectors(bag, stats)
 
 
-ASKED = ["t1 t2 t17", "t299", "unknown", "t1 t1 t1", "t40 t41 t42 t43 t44 t3", "", "t250 t260 unknown"]
+ASKED = [
+    asking(1, 2, 17), asking(299), "unknown", asking(1, 1, 1), asking(40, 41, 42, 43, 44, 3), "",
+    asking(250, 260) + " unknown",
+]
 
 
 @pytest.mark.parametrize("k, block_rows", [(1, 8), (5, 8), (5, 4096), (60, 16), (500, 16)])
@@ -166,26 +178,28 @@ def test_postings_give_the_rows_of_a_scan(spark, store, k, block_rows):
     asked = queries_of(spark, *ASKED)
     want, _ = tfidf_candidates(asked, vectors, stats, None, k)
     got, _ = postings.postings_search(asked, by_id, stats, blocks, postings.first_ids(vectors), None, k)
-    assert rows(got) == rows(want)
+    assert rows(got) == rows(want) and (k < 500 or want.filter("score > 0").count() > 100)
 
 
 def test_postings_skip_blocks_and_folders(spark, store):
     _, stats, vectors = model(spark, 2000)
-    blocks = store.write_by_bucket("postings", "skip", postings.term_blocks(vectors, stats, 32), "term").cache()
-    asked = spark.createDataFrame([(1, ["t250", "t1"], [0.95, 0.31])], "query_id long, query_terms array<string>, query_weights array<double>")
-    found = postings.candidates(asked, blocks, postings.first_ids(vectors), 3).count()
-    matching = blocks.filter("term in ('t1', 't250')").agg(F.sum("n")).first()[0]
-    assert 3 <= found < matching / 4
+    blocks = store.write_by_bucket("postings", "skip", postings.term_blocks(vectors, stats, 32), "term")
+    schema = "query_id long, query_terms array<string>, query_weights array<double>"
+    one = spark.createDataFrame([(1, [word(1)], [1.0])], schema)
+    matching = blocks.filter(F.col("term") == word(1)).agg(F.sum("n")).first()[0]
+    assert 3 <= postings.candidates(one, blocks, postings.first_ids(vectors), 3).count() < matching / 4
+    asked = spark.createDataFrame([(1, [word(250), word(1)], [0.95, 0.31])], schema)
+    matching = blocks.filter(F.col("term").isin(word(1), word(250))).agg(F.sum("n")).first()[0]
+    assert 3 <= postings.candidates(asked, blocks, postings.first_ids(vectors), 3).count() < matching
     read = postings._of_terms(store.read("postings", "skip"), asked.select("query_id", F.explode("query_terms").alias("term")), ["n"])
     assert "dynamicpruning" in plan(read) and "doc_ids" not in plan(read)
-    blocks.unpersist()
 
 
 def test_blocks_hold_like_weights(spark):
     _, stats, vectors = model(spark)
     for r in postings.term_blocks(vectors, stats, 16).collect():
         assert r["n"] == len(r["doc_ids"]) == len(r["weights"]) and r["max_weight"] == max(r["weights"])
-        assert r["level"] == postings.LEVELS or all(2.0 ** -(r["level"] + 1) <= w + 1e-12 for w in r["weights"])
+        assert r["level"] == postings.LEVELS or all(2.0 ** (-(r["level"] + 1) / 2) <= w + 1e-12 for w in r["weights"])
 
 
 # Floors
@@ -193,25 +207,24 @@ def test_blocks_hold_like_weights(spark):
 
 def test_a_first_look_spares_rows_and_changes_none(spark, store, monkeypatch, setting):
     _, stats, vectors = model(spark, 3000)
-    asked = queries_of(spark, *ASKED)
+    asked = queries_of(spark, asking(1, 2, 17), asking(3, 4, 5), asking(1, 6))
     many = ArtifactStore(spark, store.root, buckets=64)
     by_id = many.write_by_bucket("vectors", "floor", vectors, "doc_id")
     setting("spark.sql.files.maxPartitionBytes", "20000")
     setting("spark.sql.files.openCostInBytes", "20000")
-    want, _ = tfidf_candidates(asked, vectors, stats, None, 100)
+    assert first_part(by_id, 100) is not None and first_part(by_id, 99) is None and first_part(vectors, 100) is None
+    monkeypatch.setattr("gleanery.operators.sparse.LOOK_FROM_K", 5)
+    want, _ = tfidf_candidates(asked, vectors, stats, None, 5)
     emitted = []
     whole = scan.top_ranked
     monkeypatch.setattr(scan, "top_ranked", lambda df, *a, **k: emitted.append(df) or whole(df, *a, **k))
-    assert first_part(by_id, 100) is not None and first_part(by_id, 99) is None and first_part(vectors, 100) is None
-    got, _ = tfidf_candidates(asked, by_id, stats, None, 100)
+    got, _ = tfidf_candidates(asked, by_id, stats, None, 5)
     assert rows(got) == rows(want)
     look, with_floor = emitted[-2:]
     monkeypatch.setattr("gleanery.operators.sparse.first_part", lambda *_: None)
-    again, _ = tfidf_candidates(asked, by_id, stats, None, 100)
+    again, _ = tfidf_candidates(asked, by_id, stats, None, 5)
     assert rows(again) == rows(want)
-    without = emitted[-1].count()
-    queries = 6
-    assert with_floor.count() < without and with_floor.count() < 100 * queries * 64 / 2
+    assert look.count() < with_floor.count() < emitted[-1].count() / 2
 
 
 # Groups
