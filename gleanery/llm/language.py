@@ -102,7 +102,9 @@ def _windows(texts: pa.Array, buckets: int):
         row = np.searchsorted(offsets, at, "right") - 1
         b = PLAIN[data[at[0] : at[-1] + 1]]
         own = at < last
-        before = np.r_[np.uint8(0), b[:-1]]
+        # the byte before, if it belongs to the same text
+        before = np.r_[PLAIN[data[at[0] - 1]] if at[0] else np.uint8(0), b[:-1]]
+        before[at == offsets[row]] = 0
         kept = (b != 32) | (before != 32)  # runs of spaces count once
         b, row, own = b[kept].astype(np.uint32), row[kept], own[kept]
         for n in ORDERS:

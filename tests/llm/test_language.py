@@ -1,6 +1,8 @@
+import math
 import os
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +58,82 @@ def test_many_labels_are_all_learnt(spark):
     assert language.identify(docs, model).filter("lang_pred != lang").count() == 0
     with pytest.raises(ValueError, match="labels"):
         language.learn(docs, "doc_id", "text", "lang", F.lit(True), language.Training(max_labels=44))
+
+
+def plain_margins(text, model):
+    """The definition: shares of hashed n-grams of the lower-cased text, times the planes."""
+    raw = [int(language.PLAIN[b]) for b in text.lower().encode()]
+    kept = [b for i, b in enumerate(raw) if b != 32 or i == 0 or raw[i - 1] != 32]
+    buckets = len(model.weights)
+    codes = []
+    for n in language.ORDERS:
+        for i in range(len(kept) - n + 1):
+            code = n
+            for b in kept[i : i + n]:
+                code = (code * 256 + b) % 2**32
+            codes.append((code * 2654435761 % 2**32) >> (32 - (buckets.bit_length() - 1)))
+    total = max(1, len(codes))
+    return [sum(float(model.weights[c, k]) for c in codes) / total + float(model.bias[k]) for k in range(len(model.bias))]
+
+
+def plain_decision(m, model):
+    """The family of the largest margin, the first of equal ones; then duels within it."""
+    families = m[: model.families]
+    family = families.index(max(families))
+    sure = 1.0
+    if model.families > 1:
+        top = sorted(families)[-2:]
+        sure = 1 / (1 + math.exp(-max(-50, min(50, model.slope * (top[1] - top[0]) / 2))))
+    votes = {i: 0.0 for i, f in enumerate(model.family_of) if f == family}
+    for k, (a, b) in enumerate(model.pairs):
+        margin = m[model.families + k]
+        if a in votes:
+            votes[a] += (margin > 0) + math.tanh(margin) / 4 / len(model.family_of)
+            votes[b] += (margin <= 0) - math.tanh(margin) / 4 / len(model.family_of)
+    best = max(votes, key=lambda i: (votes[i], -i))
+    for k, (a, b) in enumerate(model.pairs):
+        margin = m[model.families + k] * (1 if best == a else -1)
+        if best in (a, b):
+            sure = min(sure, 1 / (1 + math.exp(-max(-50, min(50, model.slope * margin)))))
+    return best, sure
+
+
+def model_of(languages):
+    draw = random.Random(len(languages))
+    alphabets = {c: [chr(draw.randrange(97, 123)) for _ in range(6)] for c in languages}
+    labels = [c for c in languages for _ in range(12)]
+    texts = [" ".join("".join(draw.choice(alphabets[c]) for _ in range(4)) for _ in range(30)) for c in labels]
+    training = language.Training(buckets=256)
+    return language.fit(language.shares(pa.array(texts), 256), labels, training), texts
+
+
+@pytest.mark.parametrize("languages", [["en"], ["en", "de", "nl", "fr"], ["xx", "yy"], ["en", "de", "sv", "fr", "es", "ru"]])
+def test_equals_a_plain_definition(languages):
+    model, texts = model_of(languages)
+    texts = [*texts[::5], " begins with a space", "ends with one ", "  two  spaces ", "ÄÖÜ éè ß", "12 a", "x"]
+    m = language.margins(pa.array(texts), model)
+    index, sure = language.decide(m, model)
+    for i, text in enumerate(texts):
+        want = plain_margins(text, model)
+        assert all(abs(a - b) < 1e-6 for a, b in zip(m[i], want))
+        best, score = plain_decision([float(x) for x in m[i]], model)
+        assert index[i] == best and abs(sure[i] - score) < 1e-9
+
+
+def test_equal_margins():
+    model, _ = model_of(["en", "de", "nl", "fr", "es"])
+    draw = random.Random(3)
+    rows = [[draw.choice([-1.0, 0.0, 1.0]) for _ in model.bias] for _ in range(300)] + [[0.0] * len(model.bias)]
+    index, sure = language.decide(np.array(rows), model)
+    for i, m in enumerate(rows):
+        best, score = plain_decision(m, model)
+        assert index[i] == best and abs(sure[i] - score) < 1e-12
+
+
+def test_a_text_does_not_depend_on_the_one_before(monkeypatch):
+    model, _ = model_of(["en", "fr"])
+    texts = ["ab cd ", " ef gh", "", "  x", " "]
+    alone = [language.margins(pa.array([t]), model)[0] for t in texts]
+    for window in (1 << 18, 4):
+        monkeypatch.setattr(language, "WINDOW", window)
+        assert np.allclose(language.margins(pa.array(texts), model), alone)

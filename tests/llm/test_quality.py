@@ -73,3 +73,38 @@ def test_empty_table_and_filter_on_the_verdict(spark):
 def test_no_python_in_the_plan(spark):
     plan = quality.judge(spark.createDataFrame(CASES, SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_fixed_values():
+    """What the SQL twin takes from the code, or repeats, asserted literally."""
+    assert quality.SYMBOLS == "#*$%&|<>"
+    assert quality.CLOSED == r"""[.!?…:;"'”’»)\]]\z"""
+    assert quality.BOILERPLATE == (
+        "(?i)all rights reserved|licensed under|released under|terms of (use|service)|"
+        "privacy policy|accept cookies|uses cookies|enable javascript|click here to|subscribe to our"
+    ).replace("released under|", "released under the|")
+    rules = quality.LineRules()
+    assert (rules.block_words, rules.run_words, rules.rerun_share, rules.distinct_share) == (500, 8, 15, 40)
+
+
+def test_sql_judges_long_lines_alike(spark):
+    import duckdb
+
+    from gleanery.llm.queries import SQL
+
+    draw = random.Random(2)
+    few = [f"w{i}" for i in range(150)]
+    rows = [
+        (1, " ".join(draw.choice(few) for _ in range(3000)) + "."),
+        (2, " ".join(f"v{i // 6}x{i % 6}" for i in range(1500)) + "."),
+        (3, " ".join(f"u{i % 240}" for i in range(1200)) + "."),
+        (4, " ".join(draw.choice(few[:30]) for _ in range(900)) + "."),
+        (5, " ".join(f"a{i % 600}" for i in range(2400)) + "."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_repeat_words, r.base_failed, r.kept) for r in quality.judge(docs).collect()}
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    answer = db.execute("SELECT doc_id, n_words, n_repeat_words, base_failed, kept FROM (" + SQL["op9_quality_rules"] + ")")
+    assert {r[0]: r[1:] for r in answer.fetchall()} == got

@@ -116,3 +116,30 @@ def test_long_texts_are_cut_where_tokens_end(monkeypatch):
     whole = hashlib.sha256(encode(text).tobytes()).digest()
     monkeypatch.setattr(packing, "CALL", 50)
     assert hashlib.sha256(encode(text).tobytes()).digest() == whole
+
+
+def test_tiny_texts_make_bounded_groups(spark, monkeypatch):
+    """Null texts and rows without an id are pieces of one token; groups are cut by pieces."""
+    sizes = []
+    whole = packing.balanced
+    monkeypatch.setattr(packing, "balanced", lambda s, c: sizes.append(len(s)) or whole(s, c))
+    packer = packing.Packer(0, 1024, 128, 1 << 19, 1 << 13)
+    for i in range(50_000):
+        packer.add(i, np.zeros(1, "<u4"))
+    packer.close()
+    assert max(sizes) <= 1 << 13
+    docs = spark.range(120_000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    found = packing.pack(docs, read("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    by_sequence = found.groupBy("sequence_id").agg(
+        F.sum("length").alias("used"), F.max(F.col("offset") + F.col("length")).alias("end"), F.countDistinct("offset").alias("places")
+    )
+    assert by_sequence.filter("used > 1024 or used <> end or used <> places").count() == 0
+    assert found.count() == 120_000 and by_sequence.count() < 120_000 / 1024 * 1.2
+
+
+def test_packing_of_repeated_rows_and_an_empty_table(spark):
+    rows = [(1, "same text"), (1, "same text"), (None, "same text")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, length long")
+    found = packing.pack(docs, read("byte_bpe_50k.json"), public_tokenizers.PATTERN).collect()
+    assert sorted((str(r.doc_id), r.start, r.length == r.doc_tokens) for r in found) == [("1", 0, True), ("1", 0, True), ("None", 0, True)]
+    assert packing.pack(docs.limit(0), read("byte_bpe_50k.json"), public_tokenizers.PATTERN).count() == 0
