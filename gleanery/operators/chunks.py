@@ -119,4 +119,5 @@ def chunk_search_in_candidates(
     max_rows = None if max_candidates is None else max_candidates * top_k
     texts = chunks if texts is None else texts
     snippets = texts.select(*CHUNK_KEY, F.col("text").alias("snippet"), *bucket_names(texts))
-    return with_chunk_columns(hits, snippets, max_rows)
+    found = with_chunk_columns(hits, snippets, max_rows)
+    return found.select("query_id", "rank", *CHUNK_KEY, "score", "snippet")
