@@ -144,7 +144,7 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
     id_types = {e.corpus.schema["doc_id"].dataType for e in engines.values()}
     id_type = id_types.pop() if len(id_types) == 1 else T.StringType()
     schema = result_schema(requests.schema["request_id"].dataType, id_type)
-    parts = []
+    parts, few = [], rows_if_few(good) is not None
     for dataset in sorted({d for d, _ in present}):
         methods = [m for d, m in present if d == dataset]
         mine = good.filter(F.col("dataset") == dataset)
@@ -152,10 +152,11 @@ def run_requests(requests: DataFrame, engines: dict[str, Engine]) -> Answers:
         for method in methods:
             answer = work.answer(method)
             echo = mine.filter(F.col("method") == method)
-            own = "prompt_id" if method in PROMPT_METHODS else "query_id"
-            echo = echo.select("request_id", "query", "dataset", "method", F.col(own).alias("query_id"))
-            # a query that very many requests ask is one key
-            parts.append(_in_schema(join_skewed(echo, answer, ["query_id"]), schema))
+            key = "prompt_id" if method in PROMPT_METHODS else "query_id"
+            echo = echo.select("request_id", "query", "dataset", "method", F.col(key).alias("query_id"))
+            # a query that very many requests ask is one key: it is not shuffled, or salted
+            own = answer.join(F.broadcast(echo), "query_id") if few else join_skewed(echo, answer, ["query_id"])
+            parts.append(_in_schema(own, schema))
     if not parts:
         return Answers(requests.sparkSession.createDataFrame([], schema), rejects)
     return Answers(reduce(DataFrame.unionByName, parts), rejects)

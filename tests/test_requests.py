@@ -217,6 +217,16 @@ def test_searches_run_once_for_a_text_under_several_keys(spark, engines, monkeyp
     assert len({r["prompt"] for r in got}) == 2 and len(got) == 3
 
 
+def test_answers_to_very_many_requests_are_joined_alike(spark, engines, monkeypatch):
+    rows = [(i, ["red wine", "cheese"][i % 7 == 0], "number", ["tfidf", "rag_with_basics"][i % 2], None) for i in range(60)]
+    own = {"number": engines["number"]}
+    as_rows = lambda: sorted(map(str, run_requests(requests(spark, *rows), own).results.collect()))
+    want = as_rows()
+    monkeypatch.setattr("gleanery.plans.requests.rows_if_few", lambda df: None)
+    monkeypatch.setattr("gleanery.operators.joins.HOT_ROWS", 5)
+    assert as_rows() == want and len({r for r in want}) == len(want)
+
+
 def test_chunk_answers_name_their_chunk(spark, engines):
     got = run_requests(requests(spark, (1, "wine red", "number", "rag_with_faiss", None)), {"number": engines["number"]})
     assert [(e["doc_id"], e["chunk_no"]) for r in got.results.collect() for e in r["retrieved_context"]] == [(0, 0)]
