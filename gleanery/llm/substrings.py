@@ -77,6 +77,17 @@ def _anchors(docs: DataFrame, window: int, seed: int) -> DataFrame:
     return docs.select("k", "text").mapInArrow(run, "k long, h long")
 
 
+def _packed(rising: np.ndarray) -> bytes:
+    """Rising numbers as the steps between them, two bytes each where that is enough."""
+    steps = np.diff(rising.astype(np.int64), prepend=0)
+    return steps.astype(np.uint16 if steps.max(initial=0) < 1 << 16 else np.uint32).tobytes()
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    steps = np.frombuffer(packed, np.uint16 if len(packed) == 2 * n else np.uint32)
+    return np.cumsum(steps, dtype=np.int64)
+
+
 class _Out:
     """Rows of the second look at the texts: finished documents, open ones, and messages."""
 
@@ -120,16 +131,18 @@ def _messages(docs: DataFrame, window: int, seed: int, blocks: int) -> DataFrame
                 hit = whole & (wanted[np.minimum(place, len(wanted) - 1)] == seeds[at])
                 places = np.flatnonzero(hit)
                 found, first = np.unique(of[places], return_index=True)
-                places = places[first].astype(np.uint32)
+                places = places[first]
                 block = (found % np.uint64(blocks)).astype(np.int64)
-                order = np.argsort(block, kind="stable")
+                order = np.lexsort((places, block))
                 found, places, block = found[order], places[order], block[order]
                 to, first = np.unique(block, return_index=True)
                 cuts = list(zip([*first], [*first[1:], len(found)]))
-                packed = [[x[a:b].tobytes() for a, b in cuts] for x in (found, places)]
-                yield out.rows("window", len(to), number, block=to, windows=packed[0], places=packed[1])
+                windows, at = [found[a:b].tobytes() for a, b in cuts], [_packed(places[a:b]) for a, b in cuts]
+                yield out.rows("window", len(to), number, block=to, windows=windows, places=at)
+                # the number of a text in its batch stands for a block
                 yield out.rows(
-                    "open", len(part), number, doc_id=ids[mine], text=part, n_words=np.diff(words.first)
+                    "open", len(part), number, doc_id=ids[mine], text=part, n_words=np.diff(words.first),
+                    block=np.arange(len(part)),
                 )
                 number, done = number + 1, done + len(part)
 
@@ -139,17 +152,18 @@ def _messages(docs: DataFrame, window: int, seed: int, blocks: int) -> DataFrame
     )
 
 
-ANSWERS = "batch long, windows binary, batches binary, places binary"
+ANSWERS = "batch long, own binary, batches binary, which binary, places binary"
 
 
 def _references(key, table):
     """For each batch, where another batch has its windows of this block.
 
-    The reference of a window is its first batch, and for that batch its second.
+    The reference of a window is its first batch, and for that batch its second.  A batch is
+    told its own places, different other batches, which of these, and the places there.
     """
     packed, batch = table["windows"].to_pylist(), table["batch"].to_numpy()
     hashes = np.concatenate([np.frombuffer(p, np.uint64) for p in packed])
-    places = np.concatenate([np.frombuffer(p, np.uint32) for p in table["places"].to_pylist()])
+    places = np.concatenate([_unpacked(p, len(w) // 8) for p, w in zip(table["places"].to_pylist(), packed)])
     sender = np.repeat(np.arange(len(packed)), [len(p) // 8 for p in packed])
     order = np.lexsort((batch[sender], hashes))
     same = hashes[order][1:] == hashes[order][:-1]
@@ -162,17 +176,30 @@ def _references(key, table):
     by_sender = np.lexsort((places[asks], sender[asks]))
     asks, answers = asks[by_sender], answers[by_sender]
     cuts = np.searchsorted(sender[asks], np.arange(len(packed) + 1))
-    full = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-    told = [hashes[asks], batch[sender[answers]], places[answers]]
-    return pa.table(
-        {
-            "batch": pa.array([batch[i] for i, _, _ in full], pa.int64()),
-            **{
-                name: pa.array([x[a:b].tobytes() for _, a, b in full], pa.binary())
-                for name, x in zip(["windows", "batches", "places"], told)
-            },
-        }
-    )
+    told = {"batch": [], "own": [], "batches": [], "which": [], "places": []}
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if b > a:
+            others, which = np.unique(batch[sender[answers[a:b]]], return_inverse=True)
+            told["batch"].append(batch[i])
+            told["own"].append(_packed(places[asks[a:b]]))
+            told["batches"].append(others.tobytes())
+            told["which"].append(which.astype(np.uint16 if len(others) < 1 << 16 else np.uint32).tobytes())
+            told["places"].append(places[answers[a:b]].astype(np.uint32).tobytes())
+    kinds = {name: pa.int64() if name == "batch" else pa.binary() for name in told}
+    return pa.table({name: pa.array(told[name], kinds[name]) for name in told})
+
+
+def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(own place, batch, place there)`` of all answers to a batch."""
+    out = [[np.zeros(0, np.int64)] for _ in range(3)]
+    columns = [answers[c].to_pylist() for c in ("own", "batches", "which", "places")]
+    for own, batches, which, places in zip(*columns):
+        n = len(places) // 4
+        index = np.frombuffer(which, np.uint16 if len(which) == 2 * n else np.uint32)
+        out[0].append(_unpacked(own, n))
+        out[1].append(np.frombuffer(batches, np.int64)[index])
+        out[2].append(np.frombuffer(places, np.uint32).astype(np.int64))
+    return tuple(np.concatenate(x) for x in out)
 
 
 def _own_references(of: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -218,25 +245,20 @@ def _spans(factors: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
 
 def _parse(window: int, with_text: bool):
     def parse(key, docs, answers):
+        docs = docs.sort_by("block")  # as the batch was when its windows were sent
         texts = docs["text"].combine_chunks() if len(docs) else pa.array([], pa.string())
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-        told = [
-            np.concatenate([np.zeros(0, kind), *[np.frombuffer(p, kind) for p in answers[name].to_pylist()]])
-            for name, kind in (("windows", np.uint64), ("batches", np.int64), ("places", np.uint32))
-        ]
-        order = np.argsort(told[0], kind="stable")
-        elsewhere, there, at = (x[order] for x in told)
         words = Words(texts)
         of = runs(words.hashes(), window)
         row = np.repeat(np.arange(len(texts)), np.diff(words.first))
         whole = row[: len(of)] == row[window - 1 :] if len(of) else np.zeros(0, bool)
         starts = np.flatnonzero(whole)
-        # a reference in another batch goes before one in this
+        # a reference in another batch goes before one in this; it is told for the first
+        # of equal windows, which the others refer to
         place, batch = _own_references(of, starts), np.full(len(starts), -1, np.int64)
-        if len(elsewhere):
-            found = np.minimum(np.searchsorted(elsewhere, of[starts]), len(elsewhere) - 1)
-            hit = elsewhere[found] == of[starts]
-            place[hit], batch[hit] = at[found[hit]], there[found[hit]]
+        own, there, at = _told(answers)
+        told = np.searchsorted(starts, own)
+        place[told], batch[told] = at, there
         known = place >= 0
         repeated, place, batch = starts[known], place[known], batch[known]
         out = {"doc_id": docs["doc_id"], "n_words": [], "spans": [], "n_removed": [], "kept": [], "kept_words": []}
@@ -314,7 +336,7 @@ def remove_repeats(
     scratch.release(repeated, hits)
     sent = path.filter("kind = 'window'").select("block", "batch", "windows", "places")
     answers = sent.groupBy("block").applyInArrow(_references, ANSWERS)
-    open_ = path.filter("kind = 'open'").select("batch", "doc_id", "text")
+    open_ = path.filter("kind = 'open'").select("batch", "doc_id", "text", "block")
     id_type = open_.schema["doc_id"].dataType.simpleString()
     parsed = open_.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         _parse(window, with_text),
