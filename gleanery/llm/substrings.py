@@ -333,7 +333,7 @@ def remove_repeats(
     told = _messages(docs.join(hits, "k", "left"), window, seed, blocks)
     path = scratch.write(told, "told", partition_by="kind")
     del told
-    scratch.release(repeated, hits)
+    scratch.release(repeated, hits, settle=True)
     sent = path.filter("kind = 'window'").select("block", "batch", "windows", "places")
     answers = sent.groupBy("block").applyInArrow(_references, ANSWERS)
     open_ = path.filter("kind = 'open'").select("batch", "doc_id", "text", "block")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from gleanery.session import delete_folder, leave_folder, shared_folder
 
 
+SETTLE = 1.5
+
+
 class Scratch:
     """Writes intermediate tables and deletes those that are not needed any more.
 
@@ -32,13 +36,16 @@ class Scratch:
         table.scratch_path = path
         return table
 
-    def release(self, *tables: DataFrame) -> None:
+    def release(self, *tables: DataFrame, settle: bool = False) -> None:
         """Deletes tables, and lets Spark delete the shuffle files of finished queries.
 
         Spark's cleaner removes them once the driver's garbage is collected, which by
-        itself happens long after they have filled the disks.
+        itself happens long after they have filled the disks.  What Python has dropped is
+        reported to the JVM within ``SETTLE`` seconds only; ``settle`` waits for that.
         """
         gc.collect()
+        if settle:
+            time.sleep(SETTLE)
         self.spark._jvm.System.gc()
         for table in tables:
             delete_folder(self.spark, table.scratch_path)
