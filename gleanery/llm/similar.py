@@ -10,9 +10,11 @@
    representative of their own: as many pairs as postings, never all pairs of a list.
 4. Of what is still in different components, pairs of groups that share a posting list
    are filtered by size, by the place of the first common shingle in both orders, behind
-   which enough must be left, and by the triangle inequality of the Jaccard distance with
-   the distances that step 3 measured; the rest is expanded and verified, so no link is
-   lost.
+   which enough must be left, by the triangle inequality of the Jaccard distance with
+   the distances that step 3 measured, and by parity: each set is also known by 512 bits,
+   which a shingle flips one of, and sets differ in as many shingles as bits at least.
+   All this is settled before a pair leaves the join; the rest is expanded and verified,
+   so no link is lost.
 
 Defined results: a text without words, or null, has an empty set and a component of its
 own; a null key is no candidate for a component's name (a component without any has null);
@@ -36,6 +38,9 @@ from gleanery.llm.words import Words, mix, parts, runs
 BROADCAST_IDS = 500_000
 #: Further hubs of a posting list that are tried before its groups are paired.
 MORE_HUBS, MORE_PICKS = 3, 8
+#: Words of 64 parity bits that stand for a set.
+PARITY_WORDS = 8
+_BITS = [f"b{i}" for i in range(PARITY_WORDS)]
 
 
 def _least_overlap(n, percent: int):
@@ -73,6 +78,13 @@ def _signature(hashes: np.ndarray) -> bytes:
     return np.array([one.sum(dtype=np.uint64), two.sum(dtype=np.uint64) ^ np.uint64(len(hashes))]).tobytes()
 
 
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    """Of the shingles that fall on each bit, whether their number is odd."""
+    bits = 64 * PARITY_WORDS
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, arrays)])
     flat = np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)
@@ -108,15 +120,22 @@ def shingle_heads(docs: DataFrame, key: str, text: str, shingle: int, percent: i
 
 
 def full_sets(docs: DataFrame, text: str, shingle: int) -> DataFrame:
+    """``(sig, members, n, bits)``: whole sets, their sizes and their parity bits."""
+
     def run(batches):
         for batch in batches:
             for i in range(0, len(batch), 256):
                 sets = list(_sets(batch.column(0).slice(i, 256), shingle))
+                bits = np.array([_parity(s) for s in sets], np.int64).reshape(-1, PARITY_WORDS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_signature(s) for s in sets], pa.binary()), _lists(sets)], ["sig", "members"]
+                    [pa.array([_signature(s) for s in sets], pa.binary()), _lists(sets),
+                     pa.array([len(s) for s in sets], pa.int64()),
+                     pa.StructArray.from_arrays([pa.array(b) for b in np.ascontiguousarray(bits.T)], _BITS)],
+                    ["sig", "members", "n", "bits"],
                 )
 
-    return docs.select(text).mapInArrow(run, "sig binary, members array<long>")
+    bits = ", ".join(f"{b}: long" for b in _BITS)
+    return docs.select(text).mapInArrow(run, f"sig binary, members array<long>, n long, bits struct<{bits}>")
 
 
 def _sharing(scratch: Scratch, heads: DataFrame, percent: int) -> DataFrame:
@@ -174,6 +193,26 @@ def _may_link(n1: Column, r1: Column, n2: Column, r2: Column, percent: int) -> C
     )
 
 
+def _near_enough(n1: Column, n2: Column, all1: str, any1: str, all2: str, any2: str, percent: int) -> Column:
+    """Whether the parity bits allow two sets, or any two of two lots of sets, to link.
+
+    Given are the bits that all sets of a lot have, and those that any has.  A bit that all
+    of one and none of the other have takes a shingle that is in one set only.
+    """
+    def bit(column, b):
+        return F.col(f"{column}.{b}")
+
+    apart = reduce(Column.__add__, [
+        F.bit_count(
+            bit(all1, b).bitwiseAND(F.bitwise_not(bit(any2, b))).bitwiseOR(
+                bit(all2, b).bitwiseAND(F.bitwise_not(bit(any1, b)))
+            )
+        )
+        for b in _BITS
+    ])
+    return (100 + percent) * apart <= (100 - percent) * (n1 + n2)
+
+
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -230,11 +269,15 @@ def jaccard_components(
     for side in "ab":
         of = found.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
         others = others.join(of, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
-    others = others.filter("of_a != of_b").select("a", "b")
+        others = others.join(sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    others = others.filter(
+        (F.col("of_a") != F.col("of_b"))
+        & _near_enough(F.col("n_a"), F.col("n_b"), "bits_a", "bits_a", "bits_b", "bits_b", percent)
+    ).select("a", "b")
     found, links = _grown(scratch, found, first.filter("linked").select("a", "b"), _compared(others, sets, percent))
 
     hubs = hubs.select("h", F.col("hub0.gid").alias("hub"))
-    more = scratch.write(_across(members, hubs, first, found, percent), "across")
+    more = scratch.write(_across(members.join(sets.select("node", "bits"), "node"), hubs, first, found, percent), "across")
     scratch.release()
     if not more.isEmpty():
         found, _ = _grown(scratch, found, links, _compared(more, sets, percent))
@@ -251,13 +294,13 @@ def _grown(scratch: Scratch, found: DataFrame, links: DataFrame, compared: DataF
 
 
 def _member_sets(docs, rows, nodes, key, text, shingle) -> DataFrame:
-    """``(node, members)``: the whole sets of the nodes, from a second look at their texts."""
+    """``(node, members, n, bits)``: the whole sets of the nodes, from a second look at their texts."""
     wanted = rows.join(nodes.select(F.col("node").alias("rid")), "rid").select("doc_id")
     few = wanted.count() <= BROADCAST_IDS
     wanted = F.broadcast(wanted) if few else wanted
     texts = docs.join(wanted, docs[key].eqNullSafe(wanted["doc_id"]), "left_semi")
     sets = full_sets(texts, text, shingle).join(nodes.select("sig", "node"), "sig")
-    return sets.dropDuplicates(["node"]).select("node", "members")
+    return sets.dropDuplicates(["node"]).select("node", "members", "n", "bits")
 
 
 def _across(members: DataFrame, hubs: DataFrame, compared: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -274,9 +317,11 @@ def _across(members: DataFrame, hubs: DataFrame, compared: DataFrame, found: Dat
         "inner", F.when(F.col("node") == F.col("gid"), F.lit(0.0)).otherwise(F.coalesce("inner", F.lit(1.0)))
     )
     units = placed.groupBy("gid", "component").agg(
-        F.first("n").alias("n"), F.max("r").alias("r"), F.max("inner").alias("spread"), F.first("prefix").alias("prefix")
+        F.first("n").alias("n"), F.max("r").alias("r"), F.max("inner").alias("spread"), F.first("prefix").alias("prefix"),
+        F.struct(*[F.bit_and(f"bits.{b}").alias(b) for b in _BITS]).alias("all"),
+        F.struct(*[F.bit_or(f"bits.{b}").alias(b) for b in _BITS]).alias("any"),
     )
-    listed = units.select("gid", "component", "n", "r", "spread", F.posexplode("prefix").alias("place", "h"))
+    listed = units.select("gid", "component", "n", "r", "spread", "all", "any", F.posexplode("prefix").alias("place", "h"))
     listed = listed.withColumn("rest", F.col("r") - F.col("place"))
     sizes = listed.groupBy("h", "component").agg(F.count("*").alias("units"))
     mixed = sizes.groupBy("h").agg(F.max_by("component", F.struct("units", "component")).alias("main"), F.count("*").alias("k"))
@@ -294,20 +339,22 @@ def _across(members: DataFrame, hubs: DataFrame, compared: DataFrame, found: Dat
         (F.col("l.h") == F.col("r.h"))
         & (F.col("l.component") != F.col("r.component"))
         & _may_link(F.col("l.n"), F.col("l.rest"), F.col("r.n"), F.col("r.rest"), percent)
-        & (gap - F.col("l.spread") - F.col("r.spread") <= limit),
+        & (gap - F.col("l.spread") - F.col("r.spread") <= limit)
+        & _near_enough(F.col("l.n"), F.col("r.n"), "l.all", "l.any", "r.all", "r.any", percent),
     ).groupBy(
         F.col("l.gid").alias("gid"), F.col("l.component").alias("component"),
         F.col("r.gid").alias("gid2"), F.col("r.component").alias("component2"),
     ).agg(F.max(gap).alias("gap"))
-    one = placed.select("gid", "component", F.col("node").alias("x"), F.col("inner").alias("dx"), F.col("n").alias("n1"), F.col("r").alias("r1"))
+    one = placed.select("gid", "component", F.col("node").alias("x"), F.col("inner").alias("dx"), F.col("n").alias("n1"), F.col("r").alias("r1"), F.col("bits").alias("bits1"))
     two = placed.select(
         F.col("gid").alias("gid2"), F.col("component").alias("component2"), F.col("node").alias("y"),
-        F.col("inner").alias("dy"), F.col("n").alias("n2"), F.col("r").alias("r2"),
+        F.col("inner").alias("dy"), F.col("n").alias("n2"), F.col("r").alias("r2"), F.col("bits").alias("bits2"),
     )
     pairs = units.join(one, ["gid", "component"]).join(two, ["gid2", "component2"])
     pairs = pairs.filter(
         (F.col("gap") - F.col("dx") - F.col("dy") <= limit)
         & _may_link(F.col("n1"), F.col("r1"), F.col("n2"), F.col("r2"), percent)
+        & _near_enough(F.col("n1"), F.col("n2"), "bits1", "bits1", "bits2", "bits2", percent)
     )
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from gleanery.llm import similar
@@ -80,6 +81,33 @@ def test_no_hubs_and_no_broadcast(spark, monkeypatch):
     assert found(spark, rows) == brute(rows)
 
 
+def test_few_phrases_make_no_pairs_by_the_square(spark, monkeypatch):
+    """Unlike texts out of the same frequent phrases: hardly a pair is fetched and compared."""
+    draw = random.Random(4)
+    phrases = [" ".join(f"p{i}w{j}" for j in range(12)) for i in range(60)]
+    rows = [(i, " ".join(draw.sample(phrases, 10))) for i in range(1000)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(20)]
+    compared, across = [], similar._across
+
+    def counted(*args):
+        pairs = across(*args)
+        compared.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(similar, "_across", counted)
+    assert found(spark, rows) == brute(rows)
+    assert compared[0] <= len(rows) / 10
+
+
+def test_parity_never_exceeds_the_difference(spark):
+    draw = np.random.default_rng(5)
+    pool = draw.integers(0, 1 << 63, 900, dtype=np.uint64)
+    for _ in range(300):
+        a, b = (draw.choice(pool, draw.integers(0, 800), replace=False) for _ in "ab")
+        differ = int(np.bitwise_count((similar._parity(a) ^ similar._parity(b)).view(np.uint64)).sum())
+        assert differ <= len(np.setxor1d(a, b)) and (differ - len(np.setxor1d(a, b))) % 2 == 0
+
+
 def test_edge_rows(spark):
     long_text = " ".join(f"x{i}" for i in range(30000))
     rows = [(5, "a b"), (3, "A B"), (5, "a b"), (7, None), (8, ""), (9, " \n"), (None, "a b"), (None, "q r s t u v"),
