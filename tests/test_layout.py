@@ -294,3 +294,22 @@ def test_weights_where_terms_are_too_many_to_broadcast(spark, monkeypatch):
     one, two = flat(vectors), flat(joined)
     assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-12 for k in one)
     assert joined.count() == 100
+
+
+def test_only_rare_terms_travel_for_their_weights(spark, tmp_path, monkeypatch):
+    bag, stats, vectors = model(spark, 100)
+    n = stats.count()
+    monkeypatch.setattr("gleanery.operators.sparse.FREQUENT_KEYS", n - 1)
+    same = bag.union(bag.filter("doc_id < 5")).union(bag.filter("doc_id = 7").selectExpr("null", "terms", "tfs"))
+    same.write.parquet(str(tmp_path / "bag"))
+    same = spark.read.parquet(str(tmp_path / "bag"))
+    joined = document_vectors(same, stats, Weighting())
+    assert "collect_list(struct(term, term" in plan(joined) and "explode_outer" not in plan(joined)
+    rows = lambda df: sorted(
+        (str(r["doc_id"]), sorted((t, round(w, 9)) for t, w in zip(r["terms"], r["weights"]))) for r in df.collect()
+    )
+    want = vectors.union(vectors.filter("doc_id < 5")).union(
+        vectors.filter("doc_id = 7").selectExpr("null", "terms", "weights")
+    )
+    assert rows(joined) == rows(want)
+    assert joined.count() == 106  # rows of equal ids stay rows of their own
