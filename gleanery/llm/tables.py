@@ -41,12 +41,15 @@ class Scratch:
 
         Spark's cleaner removes them once the driver's garbage is collected, which by
         itself happens long after they have filled the disks.  What Python has dropped is
-        reported to the JVM within ``SETTLE`` seconds only; ``settle`` waits for that.
+        reported to the JVM within ``SETTLE`` seconds only; ``settle`` waits for that, and
+        collects twice, as what one collection frees may hold the last reference to a shuffle.
         """
         gc.collect()
-        if settle:
+        for _ in range(2 if settle else 0):
             time.sleep(SETTLE)
-        self.spark._jvm.System.gc()
+            self.spark._jvm.System.gc()
+        if not settle:
+            self.spark._jvm.System.gc()
         for table in tables:
             delete_folder(self.spark, table.scratch_path)
 
